@@ -157,7 +157,7 @@ def fourgrams(c: Text) -> Column:
 def fourgrams_from(cjk: Column, text: Text) -> Column:
     # A look-ahead matches at every position, so overlapping grams come out of
     # one linear pass without building slices.
-    words = F.regexp_replace(strip(text), f"[{V.WHITESPACE_CLASS}]++", " ")
+    words = F.regexp_replace(strip(text), f"{V.SPACE}++", " ")
     by_word = r"(?<![^ ])(?=([^ ]++ [^ ]++ [^ ]++ [^ ]++))"
     return (F.when(cjk != "", F.regexp_extract_all(cjk, F.lit("(?=(.{4}))"), F.lit(1)))
             .otherwise(F.regexp_extract_all(words, F.lit(by_word), F.lit(1))))
@@ -165,9 +165,10 @@ def fourgrams_from(cjk: Column, text: Text) -> Column:
 
 def token_estimate(c: Text) -> Column:
     """Tokenizer-free estimate: CJK characters + word runs + other symbols."""
+    # Shrink every word run to its first character and drop whitespace; what is
+    # left has one character per token.
     word = f"[{V.WORD_CHARS}&&[^{V.CJK_RANGE}]]"
-    rest = f"(?<={word}){word}++|[{V.WHITESPACE_CLASS}]++"
-    return F.length(F.regexp_replace(_col(c), rest, ""))
+    return F.length(F.regexp_replace(_col(c), f"{V.SPACE}++|({word}){word}*+", "$1"))
 
 
 TokenCounter = Callable[[Column], Column]

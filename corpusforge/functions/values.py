@@ -86,8 +86,9 @@ WORD_CHARS = r"\p{L}\p{N}_"
 
 # Every character Python's str.strip() and str.split() treat as whitespace.
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
-# The same set as the inside of a regex class (valid in Java and in RE2).
-WHITESPACE_CLASS = "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE)
+# The same set as a Java class: a property test is several times faster than
+# trying 29 characters.
+SPACE = r"(?U)[\s\x1c-\x1f]"
 
 
 def _encodable(char: str, charset: str) -> bool:

@@ -83,15 +83,20 @@ def role_histogram(df: DataFrame, messages: str = "messages", by: str | None = N
 
 
 def histogram(df: DataFrame, value: Column, by: Sequence[str] = ()) -> DataFrame:
-    """Rows per distinct value; NULL values are left out."""
-    return (df.select(*by, value.cast("long").alias("value")).filter(F.col("value").isNotNull())
+    """Rows per distinct value, NULL included.
+
+    NULL is left to `percentiles`: a filter here would be pushed below the
+    projection, and the value would be computed twice per row.
+    """
+    return (df.select(*by, value.cast("long").alias("value"))
             .groupBy(*by, "value").agg(F.count("*").alias("rows")))
 
 
 def _with_rank(hist: DataFrame, by: Sequence[str]) -> DataFrame:
     group = Window.partitionBy(*by)
-    return hist.select("*", F.sum("rows").over(group.orderBy("value")).alias("upto"),
-                       F.sum("rows").over(group).alias("n"))
+    rows = F.when(F.col("value").isNotNull(), F.col("rows")).otherwise(0)
+    return hist.select("*", F.sum(rows).over(group.orderBy("value")).alias("upto"),
+                       F.sum(rows).over(group).alias("n"))
 
 
 def _percentile(p: float) -> Column:
@@ -103,15 +108,17 @@ def _percentile(p: float) -> Column:
 def percentiles(hist: DataFrame, points: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
     """Exact index percentiles with n, min and max, from a histogram."""
     return (_with_rank(hist, by).groupBy(*by)
-            .agg(F.sum("rows").alias("n"), F.min("value").alias("min"),
+            .agg(F.max("n").alias("n"), F.min("value").alias("min"),
                  *[F.min(_percentile(p)).alias(name) for name, p in points.items()],
-                 F.max("value").alias("max")))
+                 F.max("value").alias("max"))
+            .filter("n > 0"))
 
 
 def turn_stats(df: DataFrame, messages: str = "messages", by: Sequence[str] = ()) -> DataFrame:
     """Turns per non-empty conversation: n, min, median, max."""
     turns = F.size(J.as_messages(messages, df.schema[messages].dataType))
-    return percentiles(histogram(df, F.when(turns > 0, turns), by), {"median": 0.5}, by)
+    counts = df.select(*by, turns.alias("_turns"))
+    return percentiles(histogram(counts, F.nullif(F.col("_turns"), F.lit(0)), by), {"median": 0.5}, by)
 
 
 def rendered_row(df: DataFrame) -> Column:
@@ -135,8 +142,9 @@ def rendered_row(df: DataFrame) -> Column:
 def length_profile(df: DataFrame, text: Text | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Characters per non-empty row: n, min, p50, p90, max."""
     text = rendered_row(df) if text is None else _col(text)
-    length = F.length(text)
-    return percentiles(histogram(df, F.nullif(length, F.lit(0)), by), {"p50": 0.5, "p90": 0.9}, by)
+    texts = df.select(*by, F.length(text).alias("_length"))
+    length = F.nullif(F.col("_length"), F.lit(0))
+    return percentiles(histogram(texts, length, by), {"p50": 0.5, "p90": 0.9}, by)
 
 
 def token_profile(df: DataFrame, text: Text | None = None, by: Sequence[str] = (),
@@ -146,17 +154,19 @@ def token_profile(df: DataFrame, text: Text | None = None, by: Sequence[str] = (
     `suggested` is the power of two (512 or more) that covers p99.
     """
     text = rendered_row(df) if text is None else _col(text)
-    filled = df.select(*by, F.nullif(text, F.lit("")).alias("_text")).filter("_text is not null")
-    ranked = _with_rank(histogram(filled, counter(F.col("_text")), by), by)
+    texts = df.select(*by, text.alias("_text"))
+    tokens = F.when(F.col("_text") != "", counter(F.col("_text")))
+    ranked = _with_rank(histogram(texts, tokens, by), by)
     bits = F.length(F.bin(F.greatest(F.min(_percentile(0.99)).over(Window.partitionBy(*by)), F.lit(1)) - 1))
     suggested = F.pow(F.lit(2), F.greatest(F.lit(9), bits)).cast("long")
     ranked = ranked.withColumn("suggested", suggested)
     over = F.sum(F.when(F.col("value") > F.col("suggested"), F.col("rows")).otherwise(0))
-    return ranked.groupBy(*by).agg(
-        F.sum("rows").alias("n"),
+    profile = ranked.groupBy(*by).agg(
+        F.max("n").alias("n"),
         *[F.min(_percentile(p)).alias(name) for name, p in (("p50", 0.5), ("p90", 0.9), ("p99", 0.99))],
         F.max("value").alias("max"), F.max("suggested").alias("suggested"),
-        (over / F.sum("rows")).alias("truncated_share"))
+        F.try_divide(over, F.max("n")).alias("truncated_share"))
+    return profile.filter("n > 0")
 
 
 def short(c: Column, dtype: T.DataType, width: int = PREVIEW_WIDTH) -> Column:

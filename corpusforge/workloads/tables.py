@@ -18,6 +18,16 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share out a table that one file holds, before work that is heavy per row.
+
+    A file with a single row group is read by one task, whatever its size. A
+    table of many files is left as it is and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def quote(text: str) -> str:
     """A SQL string literal."""
     return "'" + text.replace("'", "''") + "'"
@@ -40,8 +50,7 @@ def _letter(n: Column) -> Column:
 
 def completions(spark: SparkSession, folder: str) -> DataFrame:
     """documents as completions: id, lang, source, prompt, completion, target."""
-    docs = read(spark, folder, "documents")
-    return completions_from(docs)
+    return completions_from(spread(read(spark, folder, "documents")))
 
 
 def completions_from(docs: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from corpusforge.workloads import tables as D
 BOXED_RE2 = r"\\boxed\{([^{}]*(?:\{[^{}]*\}[^{}]*)*)\}"
 WORD_RUN = r"[\p{L}\p{N}_]+"
 NOT_CJK = r"[^\x{4e00}-\x{9fff}]+"
-WS_RUN = f"[{V.WHITESPACE_CLASS}]+"
+WS_RUN = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in V.WHITESPACE) + "]+"
 
 
 def sql_cjk(e: str) -> str:
