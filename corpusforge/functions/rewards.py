@@ -95,7 +95,8 @@ def prepare(df: DataFrame, completion: str = "completion", prompt: str | None =
              grams=X.fourgrams_from(m("cjk"), m("text")))
     if target:
         df = put(df, answer_norm=X.norm_answer(m("answer")), target_norm=X.norm_answer(m("target")))
-        df = put(df, answer_ratio=_rational(m("answer_norm")), target_ratio=_rational(m("target_norm")))
+        df = put(df, answer_plain=plain_number(m("answer_norm")), target_plain=plain_number(m("target_norm")))
+        df = put(df, answer_number=number_parts(m("answer_plain")), target_number=number_parts(m("target_plain")))
     return df
 
 
@@ -164,9 +165,8 @@ def accuracy_exact(s: Sample) -> Column:
 def accuracy_math(s: Sample) -> Column:
     if not s.has_target:
         return F.lit(None).cast("double")
-    a, b = s.measure("answer_ratio"), s.measure("target_ratio")
     same_text = s.measure("answer_norm") == s.measure("target_norm")
-    same_value = a["num"] * b["den"] == b["num"] * a["den"]
+    same_value = same_number(s.measure("answer_number"), s.measure("target_number"))
     return _yes((s.measure("answer") != "") & (same_text | same_value))
 
 
@@ -185,41 +185,43 @@ def length_target(s: Sample) -> Column:
 
 
 # --- numeric value of an answer ---------------------------------------------
-# Numbers of up to 18 digits as an exact fraction, so that comparing two of
-# them by cross-multiplication fits a DECIMAL(38).
-_SIGN = r"^([+-]?)\s*"
-_INTEGER = r"(\d{1,18}|\d{1,3}(?:,\d{3}){1,5})"
-_FRACTION = r"\\[dt]?frac\{\s*(\d{1,9})\s*\}\{\s*(\d{1,9})\s*\}"
-_WHOLE = _SIGN + _INTEGER + "$"
-_DECIMAL = _SIGN + r"(\d{0,9})\.(\d{1,9})$"
-_SLASH = _SIGN + r"(\d{1,9})\s*/\s*(\d{1,9})$"
-_FRAC = _SIGN + _FRACTION + "$"
-_MIXED = _SIGN + r"(\d{1,8})\s*" + _FRACTION + "$"
-
-
-def _rational(answer: Column) -> Column:
-    """struct(num, den) of a numeric answer, NULL for anything else."""
-    bare = X.strip(F.regexp_replace(answer, r"^\$|\$$", ""))
-
-    def part(pattern: str, group: int) -> Column:
-        return F.regexp_extract(bare, pattern, group)
-
-    def number(digits: Column) -> Column:
-        return F.regexp_replace(digits, ",", "").try_cast("decimal(18,0)")
-
-    def fraction(pattern: str, num: Column, den: Column) -> Column:
-        sign = F.when(part(pattern, 1) == "-", -1).otherwise(1).cast("decimal(1,0)")
-        return F.struct((sign * num).cast("decimal(18,0)").alias("num"),
-                        den.cast("decimal(18,0)").alias("den"))
-
-    one = F.lit(1).cast("decimal(18,0)")
-    mixed_num = (number(part(_MIXED, 2)) * number(part(_MIXED, 4)) + number(part(_MIXED, 3)))
-    decimal_den = F.rpad(F.lit("1"), F.length(part(_DECIMAL, 3)) + 1, F.lit("0"))
-    value = (F.when(bare.rlike(_WHOLE), fraction(_WHOLE, number(part(_WHOLE, 2)), one))
-             .when(bare.rlike(_DECIMAL),
-                   fraction(_DECIMAL, number(F.concat(part(_DECIMAL, 2), part(_DECIMAL, 3))),
-                            number(decimal_den)))
-             .when(bare.rlike(_SLASH), fraction(_SLASH, number(part(_SLASH, 2)), number(part(_SLASH, 3))))
-             .when(bare.rlike(_FRAC), fraction(_FRAC, number(part(_FRAC, 2)), number(part(_FRAC, 3))))
-             .when(bare.rlike(_MIXED), fraction(_MIXED, mixed_num, number(part(_MIXED, 4)))))
-    return F.when(value["den"] > 0, value)
+# Integers (also with thousands commas), decimals, a/b, \frac{a}{b} and mixed
+# numbers. The digits are bounded so that the exact comparison by
+# cross-multiplication fits a DECIMAL(38); longer numbers compare as text.
+_FRAC = r"\\[dt]?frac\{\s*(\d{1,9})\s*\}\{\s*(\d{1,9})\s*\}"
+_NUMBER = (r"^([+-]?)\s*(?:(?:(\d{1,8})\s+)?(\d{1,9})\s*/\s*(\d{1,9})"
+           r"|(\d{1,18}|\d{1,3}(?:,\d{3}){1,5})?(?:\.(\d{1,9}))?)$")
+
+
+def plain_number(answer: Column) -> Column:
+    """The answer without $ signs, fractions written as a/b."""
+    slashed = F.regexp_replace(answer, _FRAC, " $1/$2")
+    return X.strip(F.regexp_replace(slashed, r"^\$|\$$", ""))
+
+
+def number_parts(plain: Column) -> Column:
+    """Sign, whole part, numerator and denominator of a number; NULL if none.
+
+    Its value is sign * (whole + num / den), with den at least 1.
+    """
+    def group(i: int) -> Column:
+        return F.nullif(F.regexp_extract(plain, _NUMBER, i), F.lit(""))
+
+    decimals = group(6)
+    parts = F.struct(
+        F.when(group(1) == "-", -1).otherwise(1).cast("decimal(1,0)").alias("sign"),
+        F.coalesce(group(2), F.replace(group(5), F.lit(",")), F.lit("0")).cast("decimal(18,0)").alias("whole"),
+        F.coalesce(group(3), decimals, F.lit("0")).cast("decimal(9,0)").alias("num"),
+        F.coalesce(group(4), F.rpad(F.lit("1"), F.length(decimals) + 1, F.lit("0")), F.lit("1"))
+        .cast("decimal(10,0)").alias("den"))
+    # The pattern also fits a lone sign or nothing at all.
+    return F.when(plain.rlike(_NUMBER) & plain.rlike("[0-9]"), parts)
+
+
+def same_number(a: Column, b: Column) -> Column:
+    """Equality of two `number_parts`; a zero denominator equals nothing."""
+    def numerator(p: Column) -> Column:
+        return (p["sign"] * (p["whole"] * p["den"] + p["num"])).cast("decimal(28,0)")
+
+    return ((a["den"] > 0) & (b["den"] > 0)
+            & (numerator(a) * b["den"] == numerator(b) * a["den"]))
