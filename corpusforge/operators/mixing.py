@@ -165,9 +165,12 @@ def _repeat(df: DataFrame, base: Mapping[str, int]) -> DataFrame:
     if not heavy:
         return explode(df, one, F.col("_copies"))
     step = F.lit(COPIES_PER_TASK_ROW).cast("long")
+    # A fixed number of partitions: by their size, adaptive execution would put
+    # these few rows back into one task.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = (df.filter(F.col("source").isin(heavy))
               .withColumn("_first", F.explode(F.sequence(one, F.col("_copies"), step)))
-              .repartition("_digest", "_first"))
+              .repartition(tasks, "_digest", "_first"))
     last = F.least(F.col("_first") + step - 1, F.col("_copies"))
     light = df.filter(~F.col("source").isin(heavy))
     return explode(ranges, F.col("_first"), last).unionByName(explode(light, one, F.col("_copies")))
