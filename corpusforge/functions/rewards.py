@@ -87,16 +87,18 @@ def prepare(df: DataFrame, completion: str = "completion", prompt: str | None =
     if target:
         first["target"] = F.col(target).cast("string")
     df = put(df, **first)
-    df = put(df, cjk=X.cjk_text(m("text")), prose=X.strip_code(m("text")),
-             think=X.think_blocks(m("text")), boxed=X.boxed(m("text")))
-    df = put(df, prose_cjk=X.cjk_count(m("prose")), prose_latin=X.latin_words(m("prose")),
-             simplified=X.simplified_in_cjk(m("cjk"), simplified),
-             answer=X.answer_from(m("boxed"), m("text")),
-             grams=X.fourgrams_from(m("cjk"), m("text")))
+    df = put(df, boxed=X.boxed(m("text")))
+    df = put(df, answer=X.answer_from(m("boxed"), m("text")))
+    # Answers pass through the Arrow UDF before the large measures exist, which
+    # would otherwise be carried past it row by row.
     if target:
         df = put(df, answer_norm=X.norm_answer(m("answer")), target_norm=X.norm_answer(m("target")))
         df = put(df, answer_plain=plain_number(m("answer_norm")), target_plain=plain_number(m("target_norm")))
         df = put(df, answer_number=number_parts(m("answer_plain")), target_number=number_parts(m("target_plain")))
+    df = put(df, cjk=X.cjk_text(m("text")), prose=X.strip_code(m("text")), think=X.think_blocks(m("text")))
+    df = put(df, prose_cjk=X.cjk_count(m("prose")), prose_latin=X.latin_words(m("prose")),
+             simplified=X.simplified_in_cjk(m("cjk"), simplified),
+             grams=X.fourgrams_from(m("cjk"), m("text")))
     return df
 
 

@@ -97,13 +97,14 @@ def sharegpt_preference(df: DataFrame, prompt_column: str = "conversations") ->
                            "rejected": convert("rejected")})
 
 
-def unknown_roles(df: DataFrame, column: str = "conversations") -> DataFrame:
+def unknown_roles(df: DataFrame, column: str = "conversations", by: str | None = None) -> DataFrame:
     """How often each unmapped role occurs (it would be renamed silently)."""
     known = V.USER_ROLES + V.ASSISTANT_ROLES + V.SYSTEM_ROLES
-    role = F.coalesce(F.col("turn.from"), F.lit(""))
-    return (df.select(F.explode(column).alias("turn")).select(role.alias("role"))
+    keys = ([by] if by else []) + ["role"]
+    return (df.select(*keys[:-1], F.explode(column).alias("turn"))
+            .withColumn("role", F.coalesce(F.col("turn.from"), F.lit("")))
             .filter(~F.lower("role").isin(*known))
-            .groupBy("role").agg(F.count("*").alias("turns")))
+            .groupBy(*keys).agg(F.count("*").alias("turns")))
 
 
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:

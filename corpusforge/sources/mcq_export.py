@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from corpusforge.functions import text as X
 from corpusforge.operators.prompts import check_options
 
+# Up to this many configs, the choice of splits is broadcast to the items.
+BROADCAST_CONFIGS = 10_000
 LETTERS = tuple(chr(ord("A") + i) for i in range(26))
 
 
@@ -52,8 +54,12 @@ def plan_export(df: DataFrame, split: str | None = None) -> McqExport:
     report = chosen.select("config", F.col("use.split").alias("split"),
                            F.when(reason == "", F.col("use.items")).otherwise(0).alias("items"),
                            F.col("use.options").alias("options"), reason.alias("skipped"))
+    # One row per config: computed here once, unless there are very many.
+    known = report.limit(BROADCAST_CONFIGS + 1).collect()
+    if small := len(known) <= BROADCAST_CONFIGS:
+        report = df.sparkSession.createDataFrame(known, report.schema)
     wanted = report.filter("skipped = ''").select("config", "split")
-    items = df.join(wanted, ["config", "split"]).select(
+    items = df.join(F.broadcast(wanted) if small else wanted, ["config", "split"]).select(
         safe_name(F.col("config")).alias("config"), "question", *options,
         F.left(F.upper(X.strip(F.col("answer").cast("string"))), F.lit(1)).alias("answer"))
     return McqExport(items, report)

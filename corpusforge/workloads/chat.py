@@ -32,6 +32,15 @@ def assistant_spans(spark: SparkSession, folder: str) -> DataFrame:
                         F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("covered"))
 
 
+def trained_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Trained characters per source, of raw text and of prompt-completion."""
+    docs = D.read(spark, folder, "documents")
+    pairs = D.completions(spark, folder).select("lang", "prompt", "completion")
+    parts = [df.select("lang", F.lit(kind).alias("kind"), T.span_chars(T.trained_spans(df)).alias("n"))
+             for kind, df in (("text", docs), ("pair", pairs))]
+    return parts[0].unionByName(parts[1]).groupBy("lang", "kind").agg(F.sum("n").alias("trained_chars"))
+
+
 def survivors(spark: SparkSession, folder: str) -> DataFrame:
     """Outcome of rows that may be JSON text, lack a turn or be too long."""
     text = D.json_chats(spark, folder).filter(F.col("conv_id") % 2 == 0).withColumn("source", F.lit("text"))
@@ -46,7 +55,8 @@ def truncation_report(spark: SparkSession, folder: str) -> DataFrame:
         "source", "rows", "truncated", F.round("truncated_share", 9).alias("truncated_share"))
 
 
-QUERIES = {f.__name__: f for f in (render_chat, check_roles, assistant_spans, survivors, truncation_report)}
+QUERIES = {f.__name__: f for f in (
+    render_chat, check_roles, assistant_spans, trained_spans, survivors, truncation_report)}
 
 _SYS = "messages[1].role = 'system'"
 _LOOP = f"CASE WHEN {_SYS} THEN messages[2:] ELSE messages END"
@@ -73,6 +83,8 @@ SQL = {
                        "sum(CASE WHEN trained THEN body ELSE 0 END) OVER (PARTITION BY conv_id) AS kept FROM p) "
                        "SELECT conv_id, round(kept::double / total, 9) AS trained_share, (e - body)::bigint AS start, "
                        "e::bigint AS \"end\", covered FROM o WHERE trained",
+    "trained_spans": f"WITH {D.COMPLETIONS} SELECT lang, 'text' AS kind, sum(length(text))::bigint AS trained_chars FROM documents "
+                     "GROUP BY lang UNION ALL SELECT lang, 'pair', sum(length(completion))::bigint FROM completions GROUP BY lang",
     "survivors": f"{_BROKEN}, b AS (SELECT 'native' AS source, {_OUTCOME} AS outcome FROM t), "
                  f"whole AS (SELECT conv_id, messages, {_LOOP} AS loop, {_PRE} AS prefix FROM chats WHERE conv_id % 2 = 0), "
                  f"j AS (SELECT 'text' AS source, CASE WHEN conv_id % 10 IN (3, 6) THEN 'bad_json' ELSE {_OUTCOME} END AS outcome FROM whole) "

@@ -61,9 +61,9 @@ def token_profile_all(spark: SparkSession, folder: str) -> DataFrame:
 def preference_lengths(spark: SparkSession, folder: str) -> DataFrame:
     """Token percentiles of a preference table, one profile per column."""
     df = D.preferences(spark, folder)
-    first = P.token_profile(df, F.col("chosen")["value"]).withColumn("column", F.lit("chosen"))
-    last = P.token_profile(df, F.col("rejected")).withColumn("column", F.lit("rejected"))
-    return first.unionByName(last).withColumn("truncated_share", F.round("truncated_share", 9))
+    texts = {"chosen": F.col("chosen")["value"], "rejected": F.col("rejected"), "prompt": P.rendered_row(df)}
+    parts = [P.token_profile(df, text).withColumn("column", F.lit(name)) for name, text in texts.items()]
+    return reduce(DataFrame.unionByName, parts).withColumn("truncated_share", F.round("truncated_share", 9))
 
 
 def preview(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,7 +114,8 @@ _JSON_OK = "conv_id % 10 NOT IN (3, 6)"
 _TOK_COMP = f"SELECT lang, {Q.sql_tokens('completion')} AS value FROM completions WHERE completion <> ''"
 _TOK_DOCS = f"SELECT {Q.sql_tokens('text')} AS value FROM documents WHERE text <> ''"
 _ANSWERS = (f"{D.SHAREGPT}, a AS (SELECT list_filter(conversations, lambda m: lower(m['from']) IN ('gpt', 'chatgpt', 'tool')) "
-            "AS answers FROM sharegpt), pref AS (SELECT answers[1]['value'] AS chosen, answers[-1]['value'] AS rejected "
+            "AS answers, conversations FROM sharegpt), pref AS (SELECT array_to_string(list_transform(conversations, "
+            "lambda m: m['value']), chr(10)) AS prompt, answers[1]['value'] AS chosen, answers[-1]['value'] AS rejected "
             "FROM a WHERE len(answers) > 0)")
 
 
@@ -154,7 +155,8 @@ SQL = {
     "token_profile": f"WITH {D.COMPLETIONS}, " + sql_tokens_profile(_TOK_COMP, "lang"),
     "token_profile_all": "WITH " + sql_tokens_profile(_TOK_DOCS),
     "column_lengths": f"WITH {_ANSWERS} SELECT *, 'chosen' AS \"column\" FROM (WITH " + sql_tokens_profile(_tok("chosen"))
-                      + ") UNION ALL SELECT *, 'rejected' FROM (WITH " + sql_tokens_profile(_tok("rejected")) + ")",
+                      + ") UNION ALL SELECT *, 'rejected' FROM (WITH " + sql_tokens_profile(_tok("rejected"))
+                      + ") UNION ALL SELECT *, 'prompt' FROM (WITH " + sql_tokens_profile(_tok("prompt")) + ")",
     "preview": "SELECT " + ", ".join(_short(c) for c in ("doc_id", "text", "lang", "source", "n_chars")) + " FROM documents",
     "mix_composition": "SELECT lang AS source, count(*) AS rows, (sum(count(*)) OVER ())::bigint AS total_rows FROM documents "
                        "WHERE lang IN ('en', 'de', 'fr', 'es') GROUP BY lang",
