@@ -9,28 +9,38 @@ from corpusforge.functions import values as V
 from corpusforge.functions.text import Text, _col, strip
 
 
-def is_list_text(c: Text) -> Column:
-    return F.left(strip(c), F.lit(1)) == "["
+def parse(c: Text) -> Column:
+    """JSON text as VARIANT; NULL when malformed. Parse once, in a projection
+    of its own, where both the list and the kind are wanted."""
+    return F.try_parse_json(_col(c))
 
 
-def parse_list(c: Text, element_type: str = V.MESSAGES_TYPE) -> Column:
-    """Typed list from JSON text; NULL when malformed or not a list.
+def list_of(parsed: Column, element_type: str = V.MESSAGES_TYPE) -> Column:
+    """Typed list from a parsed value; NULL when it is no list.
 
-    Going through VARIANT keeps a list whose elements are not all objects (they
+    Unlike from_json this keeps a list whose elements are not all objects (they
     become NULL elements) and does not turn a lone object into a list.
     """
-    return F.try_variant_get(F.try_parse_json(_col(c)), "$", element_type)
+    return F.try_variant_get(parsed, "$", element_type)
 
 
-def json_kind(c: Text) -> Column:
+def kind_of(c: Text, parsed: Column) -> Column:
     """null, list, other (valid JSON but no list) or malformed."""
     c = _col(c)
     return (F.when(c.isNull(), "null")
-            .when(F.try_parse_json(c).isNull(), "malformed")
-            .when(is_list_text(c), "list")
+            .when(parsed.isNull(), "malformed")
+            .when(F.left(strip(c), F.lit(1)) == "[", "list")
             .otherwise("other"))
 
 
+def parse_list(c: Text, element_type: str = V.MESSAGES_TYPE) -> Column:
+    return list_of(parse(c), element_type)
+
+
+def json_kind(c: Text) -> Column:
+    return kind_of(c, parse(c))
+
+
 def as_messages(c: Text, dtype: T.DataType, element_type: str = V.MESSAGES_TYPE) -> Column:
     """A list column, whether stored natively or as JSON; anything else is []."""
     empty = F.from_json(F.lit("[]"), element_type)

@@ -102,13 +102,11 @@ def span_chars(spans: Column) -> Column:
 def with_outcome(df: DataFrame, max_length: int, messages: str = "messages",
                  counter: X.TokenCounter = X.token_estimate) -> DataFrame:
     """Add `outcome`: what happens to the row when it is prepared for training."""
-    dtype = df.schema[messages].dataType
-    raw = F.col(messages)
-    bad = F.lit(False)
-    turns = raw
-    if isinstance(dtype, T.StringType):
-        turns = J.as_messages(messages, dtype)
-        bad = J.json_kind(messages).isin("malformed", "other")
+    turns, bad = F.col(messages), F.lit(False)
+    if isinstance(df.schema[messages].dataType, T.StringType):
+        df = df.withColumn("_parsed", J.parse(messages))
+        turns = J.list_of(F.col("_parsed"))
+        bad = J.kind_of(messages, F.col("_parsed")).isin("malformed", "other")
     elif "bad_json" in df.columns:
         bad = F.col("bad_json").isNotNull()
     df = df.withColumn("_turns", turns).withColumn("_text", render_chat("_turns"))
@@ -117,7 +115,7 @@ def with_outcome(df: DataFrame, max_length: int, messages: str = "messages",
                .when(~check_roles("_turns"), "bad_roles")
                .when(counter(F.col("_text")) > max_length, "too_long")
                .otherwise("ok"))
-    return df.withColumn("outcome", outcome).drop("_turns", "_text")
+    return df.withColumn("outcome", outcome).drop("_parsed", "_turns", "_text")
 
 
 def survivors(df: DataFrame, max_length: int, messages: str = "messages", by: str | None = None,

@@ -32,22 +32,25 @@ def decode_json(df: DataFrame, columns: Sequence[str], types: Mapping[str, str]
     if on_bad not in ("raise", "mark"):
         raise ValueError(f"on_bad must be raise or mark, got {on_bad!r}")
     types = types or {}
+    text = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+    if not text:
+        return df
+    parsed = {c: f"_parsed_{c}" for c in text}
+    df = df.withColumns({parsed[c]: J.parse(c) for c in text})
     out, bad = {}, []
-    for name in columns:
-        if not isinstance(df.schema[name].dataType, T.StringType):
-            continue
-        parsed = J.parse_list(name, types.get(name, json_type(name)))
+    for name in text:
+        value = J.list_of(F.col(parsed[name]), types.get(name, json_type(name)))
         if on_bad == "raise":
-            message = F.concat(F.lit(f"column {name} holds no JSON list: "), F.left(F.col(name), F.lit(80)))
-            parsed = (F.when(F.col(name).isNull(), None)
-                      .otherwise(F.coalesce(parsed, F.raise_error(message))))
+            start = F.left(F.col(name), F.lit(80))
+            failure = F.raise_error(F.concat(F.lit(f"column {name} holds no JSON list: "), start))
+            value = F.when(F.col(name).isNotNull(), F.coalesce(value, failure))
         else:
-            kind = J.json_kind(name)
+            kind = J.kind_of(name, F.col(parsed[name]))
             bad.append(F.when(kind.isin("malformed", "other"), F.concat(F.lit(f"{name}: "), kind)))
-        out[name] = parsed
+        out[name] = value
     if bad:
         out["bad_json"] = F.coalesce(*bad)
-    return df.withColumns(out) if out else df
+    return df.withColumns(out).drop(*parsed.values())
 
 
 def _role(name: Column, unknown: str) -> Column:

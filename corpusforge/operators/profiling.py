@@ -40,19 +40,15 @@ def json_string_columns(df: DataFrame) -> DataFrame:
     names = [c for c in V.JSON_CANDIDATES if c in df.columns]
     if not names:
         raise ValueError(f"no chat column among {df.columns}")
-    counts = []
-    for name in names:
-        if isinstance(df.schema[name].dataType, T.StringType):
-            kind = J.json_kind(name)
-            good, bad = kind.isin("list", "other"), kind == "malformed"
-        else:
-            good = bad = F.lit(False)
-        counts.append(F.struct(
-            F.lit(name).alias("column"),
-            F.lit(isinstance(df.schema[name].dataType, T.StringType)).alias("is_text"),
-            F.count(name).alias("present"), F.count_if(good).alias("json"),
-            F.count_if(bad).alias("malformed")))
-    rows = df.agg(F.array(*counts).alias("all")).select(F.inline("all"))
+    text = {c: isinstance(df.schema[c].dataType, T.StringType) for c in names}
+    kinds = df.select([(J.json_kind(c) if text[c] else F.when(F.col(c).isNotNull(), "native")).alias(c)
+                       for c in names])
+    rows = kinds.agg(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.lit(text[c]).alias("is_text"),
+        F.count_if(F.col(c).isin("list", "other", "malformed", "native")).alias("present"),
+        F.count_if(F.col(c).isin("list", "other")).alias("json"),
+        F.count_if(F.col(c) == "malformed").alias("malformed")) for c in names]).alias("all"))
+    rows = rows.select(F.inline("all"))
     kind = (F.when(~F.col("is_text"), "native")
             .when(F.col("json") == F.col("present"), "json")
             .when(F.col("json") == 0, "malformed")
