@@ -36,16 +36,17 @@ def decode_json(df: DataFrame, columns: Sequence[str], types: Mapping[str, str]
     if not text:
         return df
     parsed = {c: f"_parsed_{c}" for c in text}
-    df = df.withColumns({parsed[c]: J.parse(c) for c in text})
+    df = df.withColumns({parsed[c]: J.parse(F.col(f"`{c}`")) for c in text})
     out, bad = {}, []
     for name in text:
-        value = J.list_of(F.col(parsed[name]), types.get(name, json_type(name)))
+        column, variant = F.col(f"`{name}`"), F.col(f"`{parsed[name]}`")
+        value = J.list_of(variant, types.get(name, json_type(name)))
         if on_bad == "raise":
-            start = F.left(F.col(name), F.lit(80))
+            start = F.left(column, F.lit(80))
             failure = F.raise_error(F.concat(F.lit(f"column {name} holds no JSON list: "), start))
-            value = F.when(F.col(name).isNotNull(), F.coalesce(value, failure))
+            value = F.when(column.isNotNull(), F.coalesce(value, failure))
         else:
-            kind = J.kind_of(name, F.col(parsed[name]))
+            kind = J.kind_of(column, variant)
             bad.append(F.when(kind.isin("malformed", "other"), F.concat(F.lit(f"{name}: "), kind)))
         out[name] = value
     if bad:
@@ -73,10 +74,11 @@ def sharegpt_to_messages(df: DataFrame, column: str = "conversations",
                          to: str = "messages") -> DataFrame:
     """from/value turns to role/content messages. Unknown roles become user."""
     require(df, [column], "sharegpt_to_messages")
-    turns = F.col(column)
-    if isinstance(df.schema[column].dataType, T.StringType):
-        df = decode_json(df, [column], {column: V.SHAREGPT_TYPE})
-    return df.withColumn(to, _messages(turns, "user"))
+    if not isinstance(df.schema[column].dataType, T.StringType):
+        return df.withColumn(to, _messages(F.col(column), "user"))
+    turns = f"decoded {column}"          # the column itself stays text
+    decoded = decode_json(df.withColumn(turns, F.col(column)), [turns])
+    return decoded.withColumn(to, _messages(F.col(f"`{turns}`"), "user")).drop(turns)
 
 
 def sharegpt_preference(df: DataFrame, prompt_column: str = "conversations") -> DataFrame:

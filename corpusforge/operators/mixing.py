@@ -14,7 +14,7 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from corpusforge.operators.conform import check_aligned
+from corpusforge.operators.conform import check_aligned, require
 
 DIGEST_DIGITS = 32
 DIGITS_PER_PASS = 4          # 65,536 buckets per source and pass
@@ -58,6 +58,7 @@ def weighted_interleave(df: DataFrame, weights: Mapping[str, float], seed: int =
     Every row appears at least once; `copy` numbers its repetitions. The rows
     that get one copy more than the others are those with the smallest digest.
     """
+    require(df, ["source", "row_key"], "weighted_interleave")
     sizes = {r["source"]: r["n"] for r in df.groupBy("source").agg(F.count("*").alias("n")).collect()}
     sizes |= {s: 0 for s in weights if s not in sizes}
     targets = target_rows(sizes, weights)
@@ -77,10 +78,17 @@ def weighted_interleave(df: DataFrame, weights: Mapping[str, float], seed: int =
 
 
 def shuffle(df: DataFrame, seed: int = 42) -> DataFrame:
-    """A seeded permutation by `shuffle_key`; equal however df is partitioned."""
+    """A seeded permutation by `shuffle_key`; equal however df is partitioned.
+
+    The position only tells rows with one and the same key apart, so that a
+    repeated key cannot fill a whole task.
+    """
+    require(df, ["row_key"], "shuffle")
     parts = [F.lit(str(seed)), *[F.col(c).cast("string") for c in ("source", "row_key", "copy")
                                  if c in df.columns]]
-    return df.withColumn("shuffle_key", F.md5(F.concat_ws("|", *parts))).orderBy("shuffle_key")
+    keyed = df.withColumns({"shuffle_key": F.md5(F.concat_ws("|", *parts)),
+                            "_position": F.monotonically_increasing_id()})
+    return keyed.orderBy("shuffle_key", "_position").drop("_position")
 
 
 # --- helpers ----------------------------------------------------------------

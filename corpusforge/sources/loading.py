@@ -7,7 +7,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from corpusforge.session import shared_folder
+
+FILE, INDEX = "_metadata.file_path", "_metadata.row_index"
 ROWS_PER_BLOCK = 65536
+# Up to this many rows, a keyed cap is a top-n that one task can merge.
+TOP_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -22,6 +27,7 @@ class SourceSpec:
     path: str
     name: str | None = None
     format: str = "parquet"
+    options: Mapping[str, str] = field(default_factory=dict)
     schema: str | None = None
     config: str | None = None
     split: str | None = "train"
@@ -42,7 +48,7 @@ class SourceSpec:
 
 def load_source(spark: SparkSession, spec: SourceSpec, trial_rows: int | None = None) -> DataFrame:
     """The rows of a source with `row_key`; `trial_rows` overrides max_samples."""
-    reader = spark.read.format(spec.format)
+    reader = spark.read.format(spec.format).options(**spec.options)
     if spec.schema:
         reader = reader.schema(spec.schema)
     df = reader.load(spec.path.format(config=spec.config, split=spec.split))
@@ -68,7 +74,7 @@ def _select(df: DataFrame, column: str, value: str | None, path: str) -> DataFra
 
 def file_position() -> Column:
     """Identity of a parquet row: its file and its index in the file."""
-    return F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string"))
+    return F.concat_ws("#", FILE, F.col(INDEX).cast("string"))
 
 
 def head(df: DataFrame, n: int = 200) -> DataFrame:
@@ -77,8 +83,24 @@ def head(df: DataFrame, n: int = 200) -> DataFrame:
 
 
 def first_by_key(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:
-    """The n rows with the smallest key: a top-n, meant for trial-sized n."""
-    return df.orderBy(*key).limit(n)
+    """The n rows with the smallest key, for any n.
+
+    A large n would be too much for the one task that merges a top-n. Then only
+    the keys are sorted and written; the n-th of them becomes a filter.
+    """
+    if n <= TOP_ROWS:
+        return df.orderBy(*key).limit(n)
+    folder = shared_folder(df.sparkSession, "keys")
+    df.select(*key).orderBy(*key).write.parquet(folder)
+    keys = df.sparkSession.read.parquet(folder)
+    position = _nth_row(keys, n)
+    if position is None:
+        return df
+    nth = keys.filter(position.here).first()
+    this, last = F.struct(*key), F.struct(*[F.lit(nth[c]).cast(df.schema[c].dataType).alias(c) for c in key])
+    below = df.filter(this < last)
+    # One row, unless the key is not unique.
+    return below.unionByName(df.filter(this == last).limit(n - below.count()))
 
 
 def first_in_files(df: DataFrame, n: int) -> DataFrame:
@@ -88,17 +110,35 @@ def first_in_files(df: DataFrame, n: int) -> DataFrame:
     and turns that row's position into a filter: files behind it are not read,
     and no row is sorted or moved.
     """
-    path, index = F.col("_metadata.file_path"), F.col("_metadata.row_index")
-    at = _holder(df.select(path.alias("bucket")), n)
-    if at is None:
-        return df
-    in_file = df.filter(path == at["bucket"])
-    block = F.floor(index / ROWS_PER_BLOCK)
-    left = n - at["before"]
-    in_block = _holder(in_file.select(block.alias("bucket")), left)
-    last = (in_file.filter(block == in_block["bucket"]).select(index.alias("i")).orderBy("i")
-            .limit(left - in_block["before"]).agg(F.max("i").alias("i")).first()["i"])
-    return df.filter((path < at["bucket"]) | ((path == at["bucket"]) & (index <= last)))
+    position = _nth_row(df, n)
+    return df if position is None else df.filter(position.up_to)
+
+
+@dataclass(frozen=True)
+class _Position:
+    file: str
+    index: int
+
+    @property
+    def here(self) -> Column:
+        return (F.col(FILE) == self.file) & (F.col(INDEX) == self.index)
+
+    @property
+    def up_to(self) -> Column:
+        return (F.col(FILE) < self.file) | ((F.col(FILE) == self.file) & (F.col(INDEX) <= self.index))
+
+
+def _nth_row(df: DataFrame, n: int) -> _Position | None:
+    """Where the n-th row lies; None if there are fewer."""
+    file = _holder(df.select(F.col(FILE).alias("bucket")), n)
+    if file is None:
+        return None
+    in_file, left = df.filter(F.col(FILE) == file["bucket"]), n - file["before"]
+    number = F.floor(F.col(INDEX) / ROWS_PER_BLOCK)
+    block = _holder(in_file.select(number.alias("bucket")), left)
+    in_block = in_file.filter(number == block["bucket"]).select(F.col(INDEX).alias("i"))
+    last = in_block.orderBy("i").limit(left - block["before"]).agg(F.max("i").alias("i")).first()["i"]
+    return _Position(file["bucket"], last)
 
 
 def _holder(buckets: DataFrame, n: int):

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from corpusforge.functions import text as X
+from corpusforge.operators.conform import require
 from corpusforge.operators.prompts import check_options
 
 # Up to this many configs, the choice of splits is broadcast to the items.
@@ -30,25 +31,28 @@ def safe_name(name):
 def plan_export(df: DataFrame, split: str | None = None) -> McqExport:
     """Choose a split per config and shape its items.
 
-    Needs `question`, `answer`, `config` and `split` columns next to lettered
-    options. The split is the forced one, else "test", else the first by name.
-    A config without two filled option columns is skipped, with the reason.
+    Needs `config` and `split` columns. The split is the forced one, else "test",
+    else the first by name. A config without questions, answers or two filled
+    option columns is skipped, with the reason. Configs with different columns
+    can be put together with `unionByName(..., allowMissingColumns=True)`.
     """
     options = [x for x in LETTERS if x in df.columns]
     check_options(df, options)
-    if missing := [c for c in ("question", "answer", "config", "split") if c not in df.columns]:
-        raise ValueError(f"benchmark columns {missing} are missing; available: {df.columns}")
-
+    require(df, ["config", "split"], "export_mcq")
+    for name in ("question", "answer"):
+        if name not in df.columns:
+            df = df.withColumn(name, F.lit(None).cast("string"))
     df = df.withColumn("config", F.coalesce("config", F.lit("test")))
     filled = [F.count(x) for x in options]
     per_split = df.groupBy("config", "split").agg(
-        F.count("*").alias("items"),
+        F.count("*").alias("items"), ((F.count("question") > 0) & (F.count("answer") > 0)).alias("complete"),
         sum(((n > 0).cast("int") for n in filled), F.lit(0)).alias("options"))
     # Smallest (rank, name) wins: a forced or "test" split ranks first.
     rank = F.when(F.col("split") == (split or "test"), 0).otherwise(1)
     chosen = per_split.groupBy("config").agg(
-        F.min_by(F.struct("split", "items", "options"), F.struct(rank, "split")).alias("use"))
+        F.min_by(F.struct("split", "items", "options", "complete"), F.struct(rank, "split")).alias("use"))
     reason = (F.when(F.lit(split is not None) & (F.col("use.split") != (split or "")), "split not found")
+              .when(~F.col("use.complete"), "needs question and answer")
               .when(F.col("use.options") < 2, "fewer than two option columns")
               .otherwise(""))
     report = chosen.select("config", F.col("use.split").alias("split"),

@@ -34,7 +34,7 @@ def test_roles(spark):
 TURN = st.tuples(st.sampled_from(["system", "user", "assistant"]), st.text(alphabet=" a中\n<", max_size=8))
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(st.lists(st.lists(TURN, min_size=1, max_size=6), min_size=1, max_size=20))
 def test_spans_cover_exactly_the_assistant_text(spark, conversations):
     df = chats(spark, conversations)

@@ -41,6 +41,15 @@ def test_sharegpt_roles(spark):
     assert unknown == {"tool": 1, "": 1}
 
 
+def test_sharegpt_from_text(spark):
+    df = spark.createDataFrame([('[{"from":"human","value":"a"}]',), (None,)], "conversations string")
+    out = C.sharegpt_to_messages(df)
+    assert out.columns == ["conversations", "messages"] and out.schema["conversations"] == df.schema["conversations"]
+    assert [pairs(r["messages"]) for r in out.collect()] == [[("user", "a")], []]
+    with pytest.raises(Exception, match="holds no JSON list"):
+        C.sharegpt_to_messages(spark.createDataFrame([("{",)], "conversations string")).collect()
+
+
 def test_sharegpt_preference_layouts(spark):
     df = spark.createDataFrame(
         [(1, [("human", "q"), ("observer", "o")], ("gpt", "yes"), "no"), (2, None, None, None)],

@@ -19,7 +19,7 @@ def test_shapes():
     assert names(["x"]) == ["unknown"]
 
 
-@settings(max_examples=20, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(st.lists(st.integers(1, 3000), min_size=1, max_size=200))
 def test_percentiles_are_sorted_indexes(spark, lengths):
     df = spark.createDataFrame([(n,) for n in lengths] + [(None,)], "n int")
@@ -30,7 +30,7 @@ def test_percentiles_are_sorted_indexes(spark, lengths):
     assert row == {name: ordered[min(n - 1, int(n * p))] for name, p in points.items()}
 
 
-@settings(max_examples=20, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(st.lists(st.integers(0, 5000), min_size=1, max_size=60))
 def test_token_profile(spark, counts):
     df = spark.createDataFrame([(str(n), ) for n in counts] + [("",), (None,)], "text string")

@@ -60,13 +60,7 @@ def test_score_matrix_is_the_samples_table(spark):
             assert got[name, i] == (None if value is None else pytest.approx(value, abs=1e-12))
 
 
-def one(spark, name, completion, prompt=None, target=None, **kw):
-    df = table(spark, [(0, completion, prompt, target)])
-    kw = {"prompt": "prompt" if prompt is not None else None} | kw
-    return scores(df, [name], target="target", **kw)[0][0]
-
-
-@pytest.mark.parametrize("name, completion, extra, expected", [
+BRANCHES = [
     ("zhtw_purity", "這" * 99 + "这", {}, 0.8),
     ("zhtw_purity", "abc", {}, None),
     ("zhtw_purity", "", {}, None),
@@ -105,10 +99,18 @@ def one(spark, name, completion, prompt=None, target=None, **kw):
     ("no_repetition", " ".join("abcdefghijklmnopqrs"), {}, None),
     ("no_repetition", "a " * 20, {}, 1 / 17),
     ("length_target", "x" * 600, {}, 1.0),
-])
-def test_branches(spark, name, completion, extra, expected):
-    got = one(spark, name, completion, **extra)
-    assert got == (None if expected is None else pytest.approx(expected, abs=1e-12))
+]
+
+
+@pytest.mark.parametrize("name", sorted(R.REWARDS))
+def test_branches(spark, name):
+    for with_prompt in (False, True):
+        cases = [(c, e, want) for n, c, e, want in BRANCHES if n == name and ("prompt" in e) == with_prompt]
+        if cases:
+            df = table(spark, [(i, c, e.get("prompt"), e.get("target")) for i, (c, e, _) in enumerate(cases)])
+            got = scores(df, [name], target="target", prompt="prompt" if with_prompt else None)
+            for (completion, extra, want), (score,) in zip(cases, got):
+                assert score == (None if want is None else pytest.approx(want, abs=1e-12)), (completion, extra)
 
 
 def test_accuracy_needs_a_target_column(spark):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusforge.plans.prompt_table import build_prompt_table
 from corpusforge.plans.training_table import build_training_table
 from corpusforge.operators.prompts import require_targets
+from corpusforge.sources import loading
 from corpusforge.sources.loading import SourceSpec, head, load_source
 from corpusforge.sources.mcq_export import export_mcq, plan_export
 
@@ -41,6 +42,27 @@ def test_cap_applies_to_the_selected_split(spark, shards):
     assert head(load_source(spark, spec), 4).count() == 4
 
 
+@pytest.mark.parametrize("n", [1, 10, 11, 499, 999, 1000, 2000])
+def test_large_keyed_cap(spark, shards, monkeypatch, n):
+    """Beyond a top-n, the cap goes through sorted keys; also with repeated keys."""
+    monkeypatch.setattr(loading, "TOP_ROWS", 10)
+    df = spark.read.parquet(shards).repartition(7)
+    assert ids(loading.first_by_key(df, ["i"], n)) == list(range(min(n, 1000)))
+    hot = df.withColumn("k", F.when(F.col("i") < 400, 5).otherwise(F.col("i") % 90)).select("k", "i")
+    got = [r["k"] for r in loading.first_by_key(hot, ["k"], n).collect()]
+    want = sorted([5] * 400 + [i % 90 for i in range(400, 1000)])[:n]
+    assert sorted(got) == want
+    two = loading.first_by_key(df, ["config", "i"], n)
+    assert ids(two) == list(range(min(n, 1000)))
+
+
+def test_csv_options(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("i;text\n1;a b\n")
+    spec = SourceSpec(str(tmp_path / "t.csv"), format="csv", options={"header": "true", "sep": ";"},
+                      schema="i int, text string", key=("i",))
+    assert [tuple(r) for r in load_source(spark, spec).collect()] == [(1, "a b", "1")]
+
+
 def test_row_key_is_unique(spark, shards):
     df = load_source(spark, SourceSpec(shards, split=None))
     assert df.select("row_key").distinct().count() == 1000
@@ -138,7 +160,12 @@ def test_export_mcq_rejects(spark, tmp_path):
     df = spark.createDataFrame([("a/b", "test", "q", "x", "y", None, "A"), ("a_b", "test", "q", "x", "y", None, "A")], MCQ)
     with pytest.raises(ValueError, match="share a file name"):
         export_mcq(df, str(tmp_path / "x"), "b")
-    with pytest.raises(ValueError, match=r"\['answer'\] are missing"):
-        plan_export(df.drop("answer"))
+    with pytest.raises(ValueError, match=r"\['split'\] are missing"):
+        plan_export(df.drop("split"))
+    assert {r["skipped"] for r in plan_export(df.drop("answer")).report.collect()} == {"needs question and answer"}
+    assert plan_export(df.drop("answer")).items.count() == 0
+    other = df.limit(1).select(F.lit("c").alias("config"), "split", F.col("question").alias("q"), "A", "B", "answer")
+    mixed = plan_export(df.unionByName(other, allowMissingColumns=True)).report.collect()
+    assert {r["config"]: r["skipped"] for r in mixed} == {"a/b": "", "a_b": "", "c": "needs question and answer"}
     forced = plan_export(df, split="dev").report.collect()
     assert {r["skipped"] for r in forced} == {"split not found"}

@@ -41,7 +41,7 @@ def run_stream(spark, tmp_path, batches, patience=3):
     return [tuple(r) for r in spark.read.schema(G.ALERT_TYPE).parquet(str(out)).collect()]
 
 
-@settings(max_examples=12, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from([1.0, 1.0, 1.0, 0.5, None])), max_size=60),
        st.integers(1, 5), st.integers(1, 9))
 def test_batch_guard_equals_one_pass(spark, events, patience, block):

@@ -72,7 +72,7 @@ def test_norm_answer_matches_its_definition_on_all_characters(spark):
     assert not wrong
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(st.lists(st.text(alphabet="ab 中文这\n\u3000.\x1c", max_size=60), min_size=1, max_size=30))
 def test_functions_match_python_definitions(spark, texts):
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, s string")
