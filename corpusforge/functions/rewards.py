@@ -12,6 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from corpusforge.functions import text as X
 from corpusforge.functions import values as V
@@ -81,7 +82,7 @@ def prepare(df: DataFrame, completion: str = "completion", prompt: str | None =
     if prompt:
         dtype = df.schema[prompt].dataType
         turns = F.col(prompt)
-        if user_turn_only:
+        if user_turn_only and isinstance(dtype, T.ArrayType):
             turns = F.filter(turns, lambda t: t["role"] == "user")
         first["prompt_cjk"] = X.cjk_count(X.as_text(turns, dtype))
     if target:

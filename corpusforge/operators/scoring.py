@@ -42,6 +42,8 @@ def score(df: DataFrame, spec: Sequence[Entry] = DEFAULT_SPEC, completion: str =
     none applies.
     """
     entries = _resolve(spec)
+    if taken := [c for c in [*(e[0] for e in entries), "reward", "rewards_applied"] if c in df.columns]:
+        raise ValueError(f"the table already has columns {taken}")
     measured = R.prepare(df, completion, prompt, target, **settings)
 
     def sample(options: dict) -> R.Sample:

@@ -1,7 +1,7 @@
 """Raise an alert when a run's completions stay fully cut off.
 
-Input rows are (run_id, step, ratio). A ratio at or above the threshold extends
-the run's streak, a lower one ends it, a missing one is ignored. A run alerts
+Input rows are (run_id, step, ratio); the ratio may be text, as logged. A ratio at or above the threshold extends
+the run's streak, a lower one ends it, one that is missing or no number is ignored. A run alerts
 once, at the step where the streak reaches `patience`.
 """
 
@@ -21,11 +21,6 @@ STATE_TYPE = "streak long, fired boolean, last_step long"
 STEPS_PER_BLOCK = 4096
 
 
-def metric_ratio(value):
-    """A logged value as a number; anything that is none becomes NULL."""
-    return value.try_cast("double")
-
-
 def guard_stream(log: DataFrame, patience: int = V.GUARD_PATIENCE) -> DataFrame:
     """Alerts of a metric stream, with one small state per run.
 
@@ -70,7 +65,7 @@ def _streaks(hits: np.ndarray, before: int) -> np.ndarray:
 
 def _hits(log: DataFrame) -> DataFrame:
     hit = (F.col("ratio") >= V.CLIPPED_AT) & ~F.isnan("ratio")
-    return (log.filter(F.col("ratio").isNotNull())
+    return (log.withColumn("ratio", F.col("ratio").try_cast("double")).filter(F.col("ratio").isNotNull())
             .select(F.col("run_id").cast("string").alias("run_id"),
                     F.col("step").cast("long").alias("step"), hit.alias("hit")))
 

@@ -101,7 +101,8 @@ COMPLETIONS = (
 
 
 def chats(spark: SparkSession, folder: str) -> DataFrame:
-    """conversations as rows: conv_id, messages."""
+    """conversations as rows: conv_id, messages. One conversation is one row of
+    the data model, so this is the only place that gathers turns."""
     turns = read(spark, folder, "conversations")
     ordered = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
     return (turns.groupBy("conv_id").agg(ordered.alias("turns"))

@@ -2,6 +2,7 @@
 
 import math
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +131,8 @@ def test_compose_weights_skips_and_options(spark):
     nothing = S.score(df, ["zhtw_purity"]).orderBy("i").collect()
     assert [r["reward"] for r in nothing] == [None, 1.0]
     assert S.score(df, []).columns[-3:] == ["format_boxed", "reward", "rewards_applied"]
+    with pytest.raises(ValueError, match=r"already has columns \['reward'\]"):
+        S.score(df.withColumn("reward", F.lit(1)), ["zhtw_purity"])
     with pytest.raises(ValueError, match="unknown reward 'nope'; available: accuracy_exact"):
         S.score(df, ["nope"])
 
@@ -146,6 +149,16 @@ def test_custom_reward_reads_any_column(spark):
         del R.REWARDS["is_first"]
 
 
+def test_custom_reward_may_be_a_pandas_udf(spark):
+    @F.pandas_udf("double")
+    def share_of_a(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: t.count("a") / len(t) if t else None).astype("float64")
+
+    spec = [R.Reward("share_of_a", "opaque logic", lambda s: share_of_a(s.measure("text")))]
+    df = table(spark, [(0, "ab", None, None), (1, "", None, None)])
+    assert scores(df, spec) == [(0.5,), (None,)]
+
+
 def test_message_completions_and_prompts(spark):
     df = spark.createDataFrame(
         [(0, [("assistant", "好"), ("assistant", "\\boxed{A}")], [("system", "請用中文回答問題"), ("user", "hi")], "A")],

@@ -2,7 +2,6 @@ import random
 
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from corpusforge.functions import rewards as R
 from corpusforge.operators import scoring as S
@@ -83,9 +82,10 @@ def test_late_steps_are_dropped_and_alerts_fire_once(spark, tmp_path):
     assert sorted(alerts) == [("a", 7, 3), ("b", 6, 3)]
 
 
-def test_text_metrics_become_numbers(spark):
-    df = spark.createDataFrame([("1.0",), ("n/a",), (None,)], "v string")
-    assert [r[0] for r in df.select(G.metric_ratio(F.col("v"))).collect()] == [1.0, None, None]
+def test_metrics_logged_as_text(spark):
+    rows = [("a", 1, "1.0"), ("a", 2, "n/a"), ("a", 3, "1"), ("a", 4, None), ("a", 5, "0.9991")]
+    df = spark.createDataFrame(rows, "run_id string, step long, ratio string")
+    assert [tuple(r) for r in G.guard_batch(df).collect()] == [("a", 5, 3)]
 
 
 def test_stream_scores_equal_batch_scores(spark, tmp_path):
