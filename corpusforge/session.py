@@ -14,8 +14,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
              .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.adaptive.enabled", "true")
-             # The JVM does not compile larger methods; scoring many rewards in
-             # one generated method is a quarter faster with this limit.
+             # The JVM does not compile larger methods, which slows down scoring
+             # with many rewards.
              .config("spark.sql.codegen.hugeMethodLimit", "8000")
              .config("spark.ui.enabled", "false")
              .getOrCreate())
