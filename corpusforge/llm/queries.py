@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusforge.llm import language_profiles, piece_encoding, tier_packing
+from corpusforge.llm import language_profiles, pii_surrogates, piece_encoding, spot_signatures, tier_packing
 from corpusforge.llm.common import fold, read
 
 
@@ -36,5 +36,20 @@ def op6_tier_packing(spark: SparkSession, folder: str) -> DataFrame:
                              public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_language_profiles, op4_piece_encoding, op6_tier_packing)}
+#: A key for tests; a real one comes from the caller's secret store.
+SURROGATE_KEY = "corpusforge"
+
+
+def op8_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    done = pii_surrogates.replace_private(docs, SURROGATE_KEY, report="kinds")
+    return done.select("doc_id", "text", F.array_join(F.array_sort("kinds"), ",").alias("kinds"))
+
+
+def op10_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
+    return spot_signatures.fingerprints(read(spark, folder, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op3_language_profiles, op4_piece_encoding, op6_tier_packing,
+                                  op8_pii_surrogates, op10_spot_signatures)}
 SQL: dict[str, str] = {}
