@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -38,6 +38,14 @@ def require(df: DataFrame, columns: Sequence[str]) -> None:
         raise ValueError(f"columns {missing} are missing; available: {df.columns}")
 
 
+def parts(batches: Iterator, rows: int = 256) -> Iterator:
+    """The rows of Arrow batches some hundred at a time, so that what a function
+    makes of them never stands in memory for a whole batch."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at:at + rows]
+
+
 def temporary(df: DataFrame, stem: str) -> str:
     """A column name the table does not have yet (names compare without case)."""
     taken, name = {c.lower() for c in df.columns}, stem

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from corpusforge.llm.common import below_rate, require
+from corpusforge.llm.common import below_rate, parts, require
 
 UNDETERMINED = "und"
 #: Letters that are counted at once; a longer text is counted piece by piece.
@@ -126,7 +126,7 @@ def learn_profiles(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     sample = rows.join(F.broadcast(rate), "lang").filter(below_rate(F.col("id"), F.col("rate"))).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in parts(batches):
             for name, texts in batch.groupby("lang")["text"]:
                 parts = [count_grams(t) for t in texts]
                 codes = np.concatenate([p[0] for p in parts])
@@ -161,7 +161,7 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> Column:
     @pandas_udf("lang_pred string, score double")
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shared.value
-        for batch in texts:
+        for batch in parts(texts):
             yield pd.DataFrame([model.predict(t) for t in batch], columns=["lang_pred", "score"])
 
     return predict(F.col(text))

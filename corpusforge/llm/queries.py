@@ -9,10 +9,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusforge.llm import language_profiles, pii_surrogates, piece_encoding, spot_signatures, tier_packing
+from corpusforge.llm import (language_profiles, pii_surrogates, piece_encoding, pu_quality, spot_signatures,
+                             tier_packing, toxic_neighbours)
 from corpusforge.llm.common import fold, read
 
 
+def op1_pu_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    good = read(spark, folder, "labels").filter((F.col("quality") == 1) & ~held_out).select("doc_id")
+    network, prior = pu_quality.learn(docs.filter(~held_out), good)
+    scored = docs.select("doc_id", held_out.alias("held_out"), pu_quality.quality(docs, network, prior).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op3_language_profiles(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
@@ -36,6 +46,15 @@ def op6_tier_packing(spark: SparkSession, folder: str) -> DataFrame:
                              public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_toxic_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = toxic_neighbours.learn(docs, read(spark, folder, "labels").filter(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxic_neighbours.toxicity(docs, model).alias("found"))
+    return scored.select("doc_id", "held_out", "found.score", (F.col("found.score") >= 0.3).cast("int").alias("predicted"),
+                         "found.neighbours", "found.terms")
+
+
 #: A key for tests; a real one comes from the caller's secret store.
 SURROGATE_KEY = "corpusforge"
 
@@ -50,6 +69,6 @@ def op10_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     return spot_signatures.fingerprints(read(spark, folder, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op3_language_profiles, op4_piece_encoding, op6_tier_packing,
+QUERIES = {f.__name__: f for f in (op1_pu_quality, op7_toxic_neighbours, op3_language_profiles, op4_piece_encoding, op6_tier_packing,
                                   op8_pii_surrogates, op10_spot_signatures)}
 SQL: dict[str, str] = {}

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from corpusforge.llm.common import require, written
+from corpusforge.llm.common import parts, require, written
 
 #: Words whose ids a worker keeps in each of two generations.
 KEPT = 300_000
@@ -93,7 +93,7 @@ def cut(docs: DataFrame, path: str, ranks: str, pattern: str, text: str = "text"
     @pandas_udf("doc_tokens long, ids_crc32 array<long>")
     def pieces(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own, step = word_tokens(path, ranks, pattern), 4 * window
-        for batch in texts:
+        for batch in parts(texts):
             rows = []
             for value in batch:
                 ids = own.encode(value or "") + end
