@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusforge.llm import (language_profiles, pii_surrogates, piece_encoding, pu_quality, spot_signatures,
+from corpusforge.llm import (language_profiles, license_scan, pii_surrogates, piece_encoding, pu_quality, spot_signatures,
                              tier_packing, toxic_neighbours)
 from corpusforge.llm.common import fold, read
 
@@ -65,10 +65,17 @@ def op8_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "text", F.array_join(F.array_sort("kinds"), ",").alias("kinds"))
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    # A document is a file of its source's and language's directory.
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.col("doc_id").cast("string"))
+    docs = read(spark, folder, "documents").select("doc_id", path.alias("path"), "text")
+    return license_scan.scan(docs)
+
+
 def op10_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     return spot_signatures.fingerprints(read(spark, folder, "documents").select("doc_id", "text"))
 
 
 QUERIES = {f.__name__: f for f in (op1_pu_quality, op7_toxic_neighbours, op3_language_profiles, op4_piece_encoding, op6_tier_packing,
-                                  op8_pii_surrogates, op10_spot_signatures)}
+                                  op8_pii_surrogates, op9_license_scan, op10_spot_signatures)}
 SQL: dict[str, str] = {}
