@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusforge.llm import (language_profiles, license_scan, pii_surrogates, piece_encoding, pu_quality, spot_signatures,
+from corpusforge.llm import (inner_products, language_profiles, license_scan, pii_surrogates, piece_encoding, pu_quality, spot_signatures,
                              tier_packing, toxic_neighbours)
 from corpusforge.llm.common import fold, read
 
@@ -23,6 +23,10 @@ def op1_pu_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op2_inner_products(spark: SparkSession, folder: str) -> DataFrame:
+    return inner_products.top_k(read(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_language_profiles(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
@@ -76,6 +80,6 @@ def op10_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     return spot_signatures.fingerprints(read(spark, folder, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pu_quality, op7_toxic_neighbours, op3_language_profiles, op4_piece_encoding, op6_tier_packing,
+QUERIES = {f.__name__: f for f in (op1_pu_quality, op2_inner_products, op7_toxic_neighbours, op3_language_profiles, op4_piece_encoding, op6_tier_packing,
                                   op8_pii_surrogates, op9_license_scan, op10_spot_signatures)}
 SQL: dict[str, str] = {}
