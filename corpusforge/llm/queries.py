@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusforge.llm import (inner_products, language_profiles, license_scan, pii_surrogates, piece_encoding, pu_quality, spot_signatures,
+from corpusforge.llm import (inner_products, language_profiles, license_scan, lsh_forest, pii_surrogates, piece_encoding, pu_quality, spot_signatures,
                              tier_packing, toxic_neighbours)
 from corpusforge.llm.common import fold, read
 
@@ -44,6 +44,10 @@ def op4_piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"), F.sha2("spans", 256).alias("spans_sha256"))
 
 
+def op5_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return lsh_forest.near_duplicates(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op6_tier_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     return tier_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"),
@@ -80,6 +84,6 @@ def op10_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     return spot_signatures.fingerprints(read(spark, folder, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pu_quality, op2_inner_products, op7_toxic_neighbours, op3_language_profiles, op4_piece_encoding, op6_tier_packing,
+QUERIES = {f.__name__: f for f in (op1_pu_quality, op2_inner_products, op7_toxic_neighbours, op3_language_profiles, op4_piece_encoding, op5_lsh_forest, op6_tier_packing,
                                   op8_pii_surrogates, op9_license_scan, op10_spot_signatures)}
 SQL: dict[str, str] = {}
