@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from corpusforge.llm.common import require
+from corpusforge.llm.common import parts, require
 
 SPACE = "▁"
 #: Words whose ids a worker keeps in each of two generations: when the younger
@@ -307,7 +307,7 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> Column:
     @pandas_udf("ids binary, spans binary")
     def encoded(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = load(model)
-        for batch in texts:
+        for batch in parts(texts):
             yield pd.DataFrame([own.encode(t) for t in batch], columns=["ids", "spans"])
 
     return encoded(F.col(text))
@@ -319,7 +319,7 @@ def decode(ids: Column, model: str) -> Column:
     @pandas_udf("string")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = load(model)
-        for batch in batches:
+        for batch in parts(batches):
             yield pd.Series([None if b is None else own.decode(b) for b in batch], dtype=object)
 
     return decoded(ids)
