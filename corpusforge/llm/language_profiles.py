@@ -128,10 +128,10 @@ def learn_profiles(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in parts(batches):
             for name, texts in batch.groupby("lang")["text"]:
-                parts = [count_grams(t) for t in texts]
-                codes = np.concatenate([p[0] for p in parts])
+                found = [count_grams(t) for t in texts]
+                codes = np.concatenate([f[0] for f in found])
                 codes, where = np.unique(codes, return_inverse=True)
-                n = np.bincount(where, np.concatenate([p[1] for p in parts]), codes.size)
+                n = np.bincount(where, np.concatenate([f[1] for f in found]), codes.size)
                 yield pd.DataFrame({"lang": name, "code": codes, "n": n.astype(np.int64)})
 
     total = (sample.mapInPandas(count, "lang string, code long, n long")
