@@ -22,7 +22,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from corpusforge.llm.common import parts, require, written
+from corpusforge.llm.common import parts, require, temporary, written
 from corpusforge.llm.components import components
 
 WORD = re.compile(r"\w+")
@@ -144,7 +144,7 @@ def verify(names: list, sets: list[np.ndarray], left: np.ndarray, right: np.ndar
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = 0.8,
                     words: int = 5, trees: int = 32, deepest: int = 12, recall: float = 0.9999) -> DataFrame:
-    """One row per row of `docs`: id, class_id, links, copies.
+    """One row per row of `docs`: id, class_id, links, copies, text_key (xxhash64 of the text).
 
     class_id is the smallest id of the near-duplicate class (all that links of
     Jaccard `threshold` or more hold together), links the number of different
@@ -213,6 +213,24 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     smallest = facts.groupBy("label").agg(F.min("id").alias("class_id"))
     facts = facts.join(smallest, "label").select("entry", "class_id", F.coalesce("links", F.lit(0)).alias("links"), "copies")
     alone = rows.filter("entry IS NULL").select(F.col("id").alias(id_column), F.col("id").alias("class_id"),
-                                                F.lit(0).cast("long").alias("links"), F.lit(1).cast("long").alias("copies"))
-    return own.select("id", "entry").join(facts, "entry").select(
-        F.col("id").alias(id_column), "class_id", "links", "copies").unionByName(alone)
+                                                F.lit(0).cast("long").alias("links"), F.lit(1).cast("long").alias("copies"),
+                                                F.col("key").alias("text_key"))
+    return own.select("id", "key", "entry").join(facts, "entry").select(
+        F.col("id").alias(id_column), "class_id", "links", "copies", F.col("key").alias("text_key")).unionByName(alone)
+
+
+def one_per_class(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """`docs` with one row of each near-duplicate class: the one with the
+    smallest id (of equal ids, the smallest text key). Wordless texts stay, each
+    once an id; all columns stay.
+    """
+    found = near_duplicates(docs, id_column, text, **settings).select(F.col(id_column).alias("id"), "class_id", "text_key")
+    # A class without any id has its texts' keys only.
+    first = F.col("id").eqNullSafe(F.col("class_id"))
+    leaders = written(found.filter(first & F.col("id").isNotNull()).groupBy("id").agg(F.min("text_key").alias("leader"))
+                      .unionByName(found.filter(first & F.col("id").isNull()).select("id", F.col("text_key").alias("leader")).distinct()), "leaders")
+    key, of, leader = temporary(docs, "key"), temporary(docs, "of"), temporary(docs, "leader")
+    leaders = leaders.select(F.col("id").alias(of), F.col("leader").alias(leader))
+    keyed = docs.withColumn(key, F.xxhash64(text))
+    return (keyed.join(leaders, F.col(key).eqNullSafe(F.col(leader)) & F.col(id_column).eqNullSafe(F.col(of)))
+            .drop(of, leader).dropDuplicates([id_column, key]).drop(key))

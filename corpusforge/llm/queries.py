@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusforge.llm import (inner_products, language_profiles, license_scan, lsh_forest, pii_surrogates, piece_encoding, pu_quality, spot_signatures,
-                             tier_packing, toxic_neighbours)
+                             stages, tier_packing, toxic_neighbours)
 from corpusforge.llm.common import fold, read
 
 
@@ -49,9 +49,7 @@ def op5_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_tier_packing(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read(spark, folder, "documents").select("doc_id", "text")
-    return tier_packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"),
-                             public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return stages.pack(spark, read(spark, folder, "documents").select("doc_id", "text"), folder)
 
 
 def op7_toxic_neighbours(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,13 +61,9 @@ def op7_toxic_neighbours(spark: SparkSession, folder: str) -> DataFrame:
                          "found.neighbours", "found.terms")
 
 
-#: A key for tests; a real one comes from the caller's secret store.
-SURROGATE_KEY = "corpusforge"
-
-
 def op8_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    done = pii_surrogates.replace_private(docs, SURROGATE_KEY, report="kinds")
+    done = pii_surrogates.replace_private(docs, stages.SURROGATE_KEY, report="kinds")
     return done.select("doc_id", "text", F.array_join(F.array_sort("kinds"), ",").alias("kinds"))
 
 
