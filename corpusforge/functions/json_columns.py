@@ -24,6 +24,27 @@ def list_of(parsed: Column, element_type: str = V.MESSAGES_TYPE) -> Column:
     return F.try_variant_get(parsed, "$", element_type)
 
 
+def one_of(parsed: Column, element_type: str = V.MESSAGES_TYPE) -> Column:
+    """A list of one from a lone object; NULL when it is none."""
+    element = element_type.removeprefix("array<").removesuffix(">")
+    lone = F.try_variant_get(parsed, "$", element)
+    return F.when(lone.isNotNull(), F.array(lone))
+
+
+def unknown_fields(parsed: Column, element_type: str) -> Column:
+    """Names of fields that a list's objects (or a lone object) have and the
+    element type lacks, comma-separated; NULL for none."""
+    dtype = T.DataType.fromDDL(element_type)
+    names = getattr(getattr(dtype, "elementType", None), "names", None)
+    if names is None:
+        return F.lit(None).cast("string")
+    fields = "map<string,variant>"
+    objects = F.coalesce(F.try_variant_get(parsed, "$", f"array<{fields}>"), F.array(F.try_variant_get(parsed, "$", fields)))
+    keys = F.array_distinct(F.flatten(F.transform(F.filter(objects, lambda o: o.isNotNull()), F.map_keys)))
+    more = F.array_sort(F.array_except(keys, F.array(*map(F.lit, names))))
+    return F.nullif(F.array_join(more, ", "), F.lit(""))
+
+
 def kind_of(c: Text, parsed: Column) -> Column:
     """null, list, other (valid JSON but no list) or malformed."""
     c = _col(c)

@@ -8,9 +8,13 @@ not apply to the sample.
 
 from __future__ import annotations
 
+import re
+import sys
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from fractions import Fraction
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -93,7 +97,9 @@ def prepare(df: DataFrame, completion: str = "completion", prompt: str | None =
     # Answers pass through the Arrow UDF before the large measures exist, which
     # would otherwise be carried past it row by row.
     if target:
-        df = put(df, answer_norm=X.norm_answer(m("answer")), target_norm=X.norm_answer(m("target")))
+        long = m("answer").rlike(_LONG) | m("target").rlike(_LONG)
+        df = put(df, answer_norm=X.norm_answer(m("answer")), target_norm=X.norm_answer(m("target")),
+                 answer_value=_long_number(F.when(long, m("answer"))), target_value=_long_number(F.when(long, m("target"))))
         df = put(df, answer_plain=plain_number(m("answer_norm")), target_plain=plain_number(m("target_norm")))
         df = put(df, answer_number=number_parts(m("answer_plain")), target_number=number_parts(m("target_plain")))
     df = put(df, cjk=X.cjk_text(m("text")), prose=X.strip_code(m("text")), think=X.think_blocks(m("text")))
@@ -170,7 +176,8 @@ def accuracy_math(s: Sample) -> Column:
         return F.lit(None).cast("double")
     same_text = s.measure("answer_norm") == s.measure("target_norm")
     same_value = same_number(s.measure("answer_number"), s.measure("target_number"))
-    return _yes((s.measure("answer") != "") & (same_text | same_value))
+    same_long = F.coalesce(s.measure("answer_value") == s.measure("target_value"), F.lit(False))
+    return _yes((s.measure("answer") != "") & (same_text | same_value | same_long))
 
 
 @reward("no_repetition", "Share of distinct 4-grams; low for degenerate loops")
@@ -189,8 +196,36 @@ def length_target(s: Sample) -> Column:
 
 # --- numeric value of an answer ---------------------------------------------
 # Integers (also with thousands commas), decimals, a/b, \frac{a}{b} and mixed
-# numbers. The digits are bounded so that the exact comparison by
-# cross-multiplication fits a DECIMAL(38); longer numbers compare as text.
+# numbers. Where the digits are few enough, cross-multiplication fits a
+# DECIMAL(38). If either side has more, both are read as exact fractions in the
+# Arrow stage that normalises answers, so no length changes the rule.
+_LONG = r"\p{Nd}{9}|(?:[,，]\p{Nd}{3}){3}"
+_ANY_FRAC = re.compile(r"\\[dt]?frac\{\s*(\d+)\s*\}\{\s*(\d+)\s*\}")
+_ANY_NUMBER = re.compile(r"([+-]?)\s*(?:(?:(\d+)\s+)?(\d+)\s*/\s*(\d+)|(\d+|\d{1,3}(?:,\d{3})+)?(?:\.(\d+))?)", re.ASCII)
+
+
+def exact_value(answer: str) -> str | None:
+    """A number of any length as a reduced fraction "n/d"; None if it is none."""
+    text = _ANY_FRAC.sub(r" \1/\2", X.normalized(answer))
+    found = _ANY_NUMBER.fullmatch(re.sub(r"^\$|\$$", "", text).strip())
+    if not found or not re.search("[0-9]", text):
+        return None
+    sign, whole, top, bottom, plain, decimals = found.groups()
+    if bottom and not int(bottom):
+        return None
+    places = decimals or ""
+    value = (Fraction(int(whole or 0)) + Fraction(int(top), int(bottom)) if top else
+             Fraction(int(((plain or "").replace(",", "") + places) or 0), 10 ** len(places)))
+    value = -value if sign == "-" else value
+    return f"{value.numerator}/{value.denominator}"
+
+
+@F.pandas_udf(T.StringType())
+def _long_number(values: pd.Series) -> pd.Series:
+    sys.set_int_max_str_digits(0)
+    return values.map(exact_value, na_action="ignore")
+
+
 _FRAC = r"\\[dt]?frac\{\s*(\d{1,9})\s*\}\{\s*(\d{1,9})\s*\}"
 _NUMBER = (r"^([+-]?)\s*(?:(?:(\d{1,8})\s+)?(\d{1,9})\s*/\s*(\d{1,9})"
            r"|(\d{1,18}|\d{1,3}(?:,\d{3}){1,5})?(?:\.(\d{1,9}))?)$")

@@ -128,19 +128,36 @@ def answer_from(blocks: Column, text: Text) -> Column:
             .otherwise(last_line(drop_think(text))))
 
 
-# Text made only of these characters is already in NFKC form: ASCII, accented
-# Latin letters, kana, CJK ideographs and the two CJK stops.
-_PLAIN = "^[\\x00-\\x7fÀ-ÖØ-öø-ÿぁ-ゔァ-ヴ一-鿿、。]*+$"
+def _stable_ranges() -> str:
+    """Characters that NFKC neither changes nor combines with others, and that
+    are no white space, as ranges of a character class."""
+    def stable(c: str) -> bool:
+        return (unicodedata.normalize("NFKC", c) == c and not unicodedata.combining(c)
+                and not ("ᄀ" <= c <= "ᇿ") and len(c.lower()) == 1 and not c.isspace() and c != "Σ"
+                and unicodedata.normalize("NFKC", c.lower()) == c.lower())
+
+    codes = [i for i in range(0x80, 0x10000) if not 0xD800 <= i < 0xE000 and unicodedata.category(chr(i))[0] in "LPSN" and stable(chr(i))]
+    ranges, start = [], codes[0]
+    for this, following in zip(codes, [*codes[1:], None], strict=True):
+        if following != this + 1:
+            ranges.append(f"\\u{start:04x}-\\u{this:04x}")
+            start = following
+    return "".join(ranges)
+
+
+# Text made only of these characters is already in NFKC form.
+_PLAIN = f"^[\\x00-\\x7f{_stable_ranges()}]*+$"
 _PLAIN_WHITESPACE = "".join(c for c in V.WHITESPACE if ord(c) < 128)
 _TAIL = re.compile(rf"[\s{re.escape(V.ANSWER_TAIL)}]+$")
 
 
+def normalized(s: str) -> str:
+    return _TAIL.sub("", unicodedata.normalize("NFKC", s).strip().lower())
+
+
 @F.pandas_udf(T.StringType())
 def _normalize_answers(values: pd.Series) -> pd.Series:
-    def one(s: str) -> str:
-        return _TAIL.sub("", unicodedata.normalize("NFKC", s).strip().lower())
-
-    return values.map(one, na_action="ignore")
+    return values.map(normalized, na_action="ignore")
 
 
 def norm_answer(c: Text) -> Column:

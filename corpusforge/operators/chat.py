@@ -80,8 +80,8 @@ def trained_spans(df: DataFrame, bos: str = "<bos>") -> Column:
     """What a trainer learns from in a row: assistant text of a conversation,
     the completion of a prompt-completion pair, all of a raw text.
 
-    Ranges refer to the rendered conversation, to prompt + completion, and to
-    the text itself.
+    Ranges refer to the rendered conversation, to prompt + completion (a prompt
+    of messages is rendered up to the answer), and to the text itself.
     """
     def one(start: Column, length: Column) -> Column:
         return F.array(F.struct(start.alias("start"), (start + length).alias("end")))
@@ -89,7 +89,11 @@ def trained_spans(df: DataFrame, bos: str = "<bos>") -> Column:
     if "messages" in df.columns:
         return assistant_spans("messages", bos)
     if {"prompt", "completion"} <= set(df.columns):
-        return one(F.length(F.coalesce("prompt", F.lit(""))), F.length(F.coalesce("completion", F.lit(""))))
+        prompt = F.col("prompt")
+        if isinstance(df.schema["prompt"].dataType, T.ArrayType):
+            prompt = render_chat("prompt", generation_prompt=True)
+        completion = X.as_text("completion", df.schema["completion"].dataType)
+        return one(F.length(F.coalesce(prompt, F.lit(""))), F.length(F.coalesce(completion, F.lit(""))))
     if "text" in df.columns:
         return one(F.lit(0), F.length(F.coalesce("text", F.lit(""))))
     raise ValueError(f"needs messages, prompt and completion, or text; available: {df.columns}")

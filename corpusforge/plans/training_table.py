@@ -26,7 +26,7 @@ class TrainingTable:
 def conform(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """Decode first, convert next, then rename and keep; `row_key` stays."""
     if spec.json_columns:
-        df = C.decode_json(df, spec.json_columns)
+        df = C.decode_json(df, spec.json_columns, spec.json_types)
     if spec.sharegpt_preference:
         df = C.sharegpt_preference(df, spec.sharegpt_column)
     if spec.sharegpt_to_messages:
@@ -48,5 +48,6 @@ def build_training_table(spark: SparkSession, sources: Sequence[SourceSpec], see
     mixed = M.mix(tables, {s.label: s.weight for s in sources}, seed)
     held = None
     if evaluation:
-        held = conform(load_source(spark, evaluation, V.TRIAL_EVAL_ROWS if trial else None), evaluation)
+        rows = V.TRIAL_EVAL_ROWS if trial else None
+        held = conform(load_source(spark, evaluation, rows, default_split="test"), evaluation)
     return TrainingTable(M.shuffle(mixed, seed), held)

@@ -11,8 +11,6 @@ from corpusforge.session import shared_folder
 
 FILE, INDEX = "_metadata.file_path", "_metadata.row_index"
 ROWS_PER_BLOCK = 65536
-# Up to this many rows, a keyed cap is a top-n that one task can merge.
-TOP_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -20,7 +18,9 @@ class SourceSpec:
     """One source of a mix, and how to bring it to the common schema.
 
     `path` may contain {config} and {split}; otherwise columns of these names
-    select the rows. `key` names the columns that identify a row; without it
+    select the rows, and a config or split that is asked for has to be found in
+    one of these ways. Without a split, a source that has splits gives its
+    default one (train, or test for evaluation). `key` names the columns that identify a row; without it
     the position in the (parquet) files does.
     """
 
@@ -30,10 +30,11 @@ class SourceSpec:
     options: Mapping[str, str] = field(default_factory=dict)
     schema: str | None = None
     config: str | None = None
-    split: str | None = "train"
+    split: str | None = None
     max_samples: int | None = None
     key: Sequence[str] = ()
     json_columns: Sequence[str] = ()
+    json_types: Mapping[str, str] = field(default_factory=dict)
     sharegpt_preference: bool = False
     sharegpt_to_messages: bool = False
     sharegpt_column: str = "conversations"
@@ -46,14 +47,20 @@ class SourceSpec:
         return self.name or self.path
 
 
-def load_source(spark: SparkSession, spec: SourceSpec, trial_rows: int | None = None) -> DataFrame:
-    """The rows of a source with `row_key`; `trial_rows` overrides max_samples."""
+def load_source(spark: SparkSession, spec: SourceSpec, trial_rows: int | None = None,
+                default_split: str = "train") -> DataFrame:
+    """The rows of a source with `row_key`; `trial_rows` overrides max_samples.
+
+    A cap runs short jobs while the DataFrame is built: counts per file and
+    block, or a sort of the key columns.
+    """
     reader = spark.read.format(spec.format).options(**spec.options)
     if spec.schema:
         reader = reader.schema(spec.schema)
-    df = reader.load(spec.path.format(config=spec.config, split=spec.split))
+    df = reader.load(spec.path.format(config=spec.config, split=spec.split or default_split))
     df = _select(df, "config", spec.config, spec.path)
-    df = _select(df, "split", spec.split, spec.path)
+    split = spec.split or (default_split if "split" in df.columns else None)
+    df = _select(df, "split", split, spec.path)
     cap = trial_rows or spec.max_samples
     if spec.key:
         key = F.concat_ws("|", *[F.col(c).cast("string") for c in spec.key])
@@ -67,8 +74,11 @@ def load_source(spark: SparkSession, spec: SourceSpec, trial_rows: int | None =
 
 
 def _select(df: DataFrame, column: str, value: str | None, path: str) -> DataFrame:
-    if value is None or "{" + column + "}" in path or column not in df.columns:
+    if value is None or "{" + column + "}" in path:
         return df
+    if column not in df.columns:
+        raise ValueError(f"{path}: {column} {value!r} was asked for, but there is neither a column {column} "
+                         f"nor {{{column}}} in the path")
     return df.filter(F.col(column) == value)
 
 
@@ -83,24 +93,24 @@ def head(df: DataFrame, n: int = 200) -> DataFrame:
 
 
 def first_by_key(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:
-    """The n rows with the smallest key, for any n.
+    """The n rows with the smallest key, the same rows at every reading.
 
-    A large n would be too much for the one task that merges a top-n. Then only
-    the keys are sorted and written; the n-th of them becomes a filter.
+    Only the keys are sorted and written; the n-th of them becomes a filter on
+    the source. Rows that share the n-th key count in the order of their
+    contents' digests. The keys are sorted while the DataFrame is built.
     """
-    if n <= TOP_ROWS:
-        return df.orderBy(*key).limit(n)
     folder = shared_folder(df.sparkSession, "keys")
     df.select(*key).orderBy(*key).write.parquet(folder)
-    keys = df.sparkSession.read.parquet(folder)
+    keys = df.sparkSession.read.schema(df.select(*key).schema).parquet(folder)
     position = _nth_row(keys, n)
     if position is None:
         return df
     nth = keys.filter(position.here).first()
     this, last = F.struct(*key), F.struct(*[F.lit(nth[c]).cast(df.schema[c].dataType).alias(c) for c in key])
-    below = df.filter(this < last)
+    before = keys.filter(F.struct(*key) < last).count()
+    content = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
     # One row, unless the key is not unique.
-    return below.unionByName(df.filter(this == last).limit(n - below.count()))
+    return df.filter(this < last).unionByName(df.filter(this.eqNullSafe(last)).orderBy(content).limit(n - before))
 
 
 def first_in_files(df: DataFrame, n: int) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Input rows are (run_id, step, ratio); the ratio may be text, as logged. A ratio at or above the threshold extends
 the run's streak, a lower one ends it, one that is missing or no number is ignored. A run alerts
-once, at the step where the streak reaches `patience`.
+once, at the step where the streak reaches `patience`. A row without a run or a
+step is ignored.
 """
 
 from __future__ import annotations
@@ -21,17 +22,25 @@ STATE_TYPE = "streak long, fired boolean, last_step long"
 STEPS_PER_BLOCK = 4096
 
 
-def guard_stream(log: DataFrame, patience: int = V.GUARD_PATIENCE) -> DataFrame:
+def guard_stream(log: DataFrame, patience: int = V.GUARD_PATIENCE, idle: str | None = None) -> DataFrame:
     """Alerts of a metric stream, with one small state per run.
 
     Within a batch steps are put in order; a step at or before the last one
     seen is late and dropped. Limit the batch at the source (for example
     maxFilesPerTrigger): the steps of one run in one batch are sorted together.
+    With `idle` (say "7 days"), a run of which nothing came for so long is
+    forgotten; a query with such a clock does not end by itself.
     """
     def watch(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        if idle:
+            state.setTimeoutDuration(idle_ms)
         streak, fired, last = state.get if state.exists else (0, False, None)
         parts = [(c["step"].to_numpy(), c["hit"].to_numpy()) for c in chunks]
         if fired:
+            state.update((streak, fired, last))
             return
         steps = np.concatenate([s for s, _ in parts])
         hits = np.concatenate([h for _, h in parts]).astype(bool)
@@ -52,8 +61,10 @@ def guard_stream(log: DataFrame, patience: int = V.GUARD_PATIENCE) -> DataFrame:
         state.update((int(streaks[-1]), bool(len(reached)), int(steps[-1])))
 
     rows = _hits(log)
+    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000) if idle else 0
     return rows.groupBy("run_id").applyInPandasWithState(
-        watch, ALERT_TYPE, STATE_TYPE, "append", GroupStateTimeout.NoTimeout)
+        watch, ALERT_TYPE, STATE_TYPE, "append",
+        GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout)
 
 
 def _streaks(hits: np.ndarray, before: int) -> np.ndarray:
@@ -67,7 +78,7 @@ def _hits(log: DataFrame) -> DataFrame:
     hit = (F.col("ratio") >= V.CLIPPED_AT) & ~F.isnan("ratio")
     return (log.withColumn("ratio", F.col("ratio").try_cast("double")).filter(F.col("ratio").isNotNull())
             .select(F.col("run_id").cast("string").alias("run_id"),
-                    F.col("step").cast("long").alias("step"), hit.alias("hit")))
+                    F.col("step").cast("long").alias("step"), hit.alias("hit")).dropna())
 
 
 def guard_batch(log: DataFrame, patience: int = V.GUARD_PATIENCE,

@@ -43,7 +43,7 @@ def trained_spans(spark: SparkSession, folder: str) -> DataFrame:
 
 def survivors(spark: SparkSession, folder: str) -> DataFrame:
     """Outcome of rows that may be JSON text, lack a turn or be too long."""
-    text = D.json_chats(spark, folder).filter(F.col("conv_id") % 2 == 0).withColumn("source", F.lit("text"))
+    text = D.json_chats(spark, folder).withColumn("source", F.lit("text"))
     native = D.broken_chats(spark, folder).withColumn("source", F.lit("native"))
     return (T.survivors(text, MAX_TOKENS, by="source")
             .unionByName(T.survivors(native, MAX_TOKENS, by="source")))
@@ -86,7 +86,7 @@ SQL = {
     "trained_spans": f"WITH {D.COMPLETIONS} SELECT lang, 'text' AS kind, sum(length(text))::bigint AS trained_chars FROM documents "
                      "GROUP BY lang UNION ALL SELECT lang, 'pair', sum(length(completion))::bigint FROM completions GROUP BY lang",
     "survivors": f"{_BROKEN}, b AS (SELECT 'native' AS source, {_OUTCOME} AS outcome FROM t), "
-                 f"whole AS (SELECT conv_id, messages, {_LOOP} AS loop, {_PRE} AS prefix FROM chats WHERE conv_id % 2 = 0), "
+                 f"whole AS (SELECT conv_id, messages, {_LOOP} AS loop, {_PRE} AS prefix FROM chats), "
                  f"j AS (SELECT 'text' AS source, CASE WHEN conv_id % 10 IN (3, 6) THEN 'bad_json' ELSE {_OUTCOME} END AS outcome FROM whole) "
                  "SELECT source, outcome, count(*) AS rows FROM (FROM b UNION ALL FROM j) GROUP BY ALL",
     "truncation_report": f"WITH {D.COMPLETIONS}, k AS (SELECT source, {Q.sql_tokens('completion')} AS tokens FROM completions) "

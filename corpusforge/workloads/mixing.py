@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusforge.operators import mixing as M
 from corpusforge.plans.training_table import build_training_table
-from corpusforge.sources.loading import SourceSpec
+from corpusforge.session import shared_folder
+from corpusforge.sources.loading import SourceSpec, load_source
 from corpusforge.workloads import tables as D
+from corpusforge.workloads.conforming import flat, sql_share
 
-WEIGHTS = {"en": 6, "de": 3, "fr": 1, "es": 2}
+#: Documents of any other or no language are the rest.
+WEIGHTS = {"en": 6, "de": 3, "fr": 1, "rest": 2}
 SEED = 42
 
 
 def _by_language(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     docs = D.read(spark, folder, "documents").withColumn("row_key", F.col("doc_id").cast("string"))
-    return {lang: docs.filter(F.col("lang") == lang) for lang in WEIGHTS}
+    named = F.when(F.col("lang").isin("en", "de", "fr"), F.col("lang")).otherwise("rest")
+    return {source: docs.filter(named == source) for source in WEIGHTS}
 
 
 def concat_sources(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,12 +66,34 @@ def trial_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def evaluation_split(spark: SparkSession, folder: str) -> DataFrame:
-    held = SourceSpec(f"{folder}/benchmark.parquet", "held", split=None, key=("item_id",), keep=("text",))
+    held = SourceSpec(f"{folder}/benchmark.parquet", "held", key=("item_id",), keep=("text",))
     return build_training_table(spark, _specs(folder)[:1], SEED, evaluation=held).evaluation
 
 
+def evaluation_converted(spark: SparkSession, folder: str) -> DataFrame:
+    """The held split of a table of JSON conversations, decoded and converted
+    like the training split."""
+    chats = D.sharegpt(spark, folder).select(
+        "conv_id", F.to_json("conversations").alias("conversations"),
+        F.when(F.col("conv_id") % 5 == 0, "test").otherwise("train").alias("split"))
+    path = shared_folder(spark, "split-chats")
+    chats.write.parquet(path)
+    spec = SourceSpec(path, "chat", key=("conv_id",), json_columns=("conversations",), sharegpt_to_messages=True,
+                      keep=("messages",))
+    table = build_training_table(spark, [spec], SEED, evaluation=spec)
+    return table.evaluation.select("row_key", flat("messages").alias("flat"))
+
+
+def config_split_selected(spark: SparkSession, folder: str) -> DataFrame:
+    """One config and split of a benchmark table."""
+    path = shared_folder(spark, "benchmarks")
+    D.questions(spark, folder).write.parquet(path)
+    rows = load_source(spark, SourceSpec(path, config="Brand#2", split="validation", key=("p_partkey",)))
+    return rows.select("p_partkey", "config", "split")
+
+
 QUERIES = {f.__name__: f for f in (concat_sources, weighted_interleave, interleave_totals, shuffle, training_table,
-                                   trial_table, evaluation_split)}
+                                   trial_table, evaluation_split, evaluation_converted, config_split_selected)}
 
 
 def sql_mix(rows: str, weights: dict[str, int]) -> str:
@@ -83,7 +109,8 @@ def sql_mix(rows: str, weights: dict[str, int]) -> str:
             "FROM ranked JOIN targets USING (source))")
 
 
-_LANGS = "SELECT lang AS source, doc_id::varchar AS row_key, doc_id, text FROM documents WHERE lang IN ('en', 'de', 'fr', 'es')"
+_LANGS = ("SELECT CASE WHEN lang IN ('en', 'de', 'fr') THEN lang ELSE 'rest' END AS source, doc_id::varchar AS row_key, "
+          "doc_id, text FROM documents")
 _TABLE = ("SELECT 'domain' AS source, doc_id::varchar AS row_key, text FROM documents UNION ALL "
           "SELECT 'general', conv_id::varchar || '|' || turn::varchar, text FROM conversations UNION ALL "
           "SELECT 'web', page_id::varchar, html FROM pages")
@@ -100,5 +127,9 @@ SQL = {
     "shuffle": f"SELECT source, doc_id, md5('{SEED}|' || source || '|' || row_key) AS shuffle_key FROM ({_LANGS})",
     "training_table": f"WITH {sql_mix(_TABLE, _PORTIONS)} {_OUT}",
     "trial_table": f"WITH {sql_mix(_TRIAL, _PORTIONS)} {_OUT}",
+    "evaluation_converted": f"WITH {D.SHAREGPT} SELECT conv_id::varchar AS row_key, {sql_share('conversations')} AS flat "
+                            "FROM sharegpt WHERE conv_id % 5 = 0",
+    "config_split_selected": f"WITH {D.QUESTIONS} SELECT p_partkey, config, split FROM questions "
+                             "WHERE config = 'Brand#2' AND split = 'validation'",
     "evaluation_split": "SELECT text, item_id::varchar AS row_key FROM benchmark",
 }

@@ -37,9 +37,7 @@ def guard_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def scored_stream(spark: SparkSession, folder: str) -> DataFrame:
     out, checkpoint = shared_folder(spark, "scored"), shared_folder(spark, "scored-checkpoint")
-    # The one given file would be one task; a real stream brings many files.
-    documents = stream(spark, folder, "documents").repartition(spark.sparkContext.defaultParallelism)
-    completions = D.completions_from(documents)
+    completions = D.completions_from(D.spread(stream(spark, folder, "documents")))
     score_stream(completions, out, checkpoint, once=True, spec=W.SPEC, prompt="prompt",
                  target="target").awaitTermination()
     return spark.read.parquet(out).select(

@@ -19,13 +19,11 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Share out a table that one file holds, before work that is heavy per row.
-
-    A file with a single row group is read by one task, whatever its size. A
-    table of many files is left as it is and not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    """Share out a table before work that is heavy per row, where the session
+    asks for it: only for test tables that are one file with one row group."""
+    spark = df.sparkSession
+    wanted = spark.conf.get("corpusforge.local.spread", "false") == "true"
+    return df.repartition(spark.sparkContext.defaultParallelism) if wanted else df
 
 
 def quote(text: str) -> str:

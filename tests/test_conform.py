@@ -108,3 +108,32 @@ def test_drop_unverifiable_counts_in_one_pass(spark):
     none.collect()
     with pytest.raises(ValueError, match="no verifiable row"):
         P.require_targets(seen)
+
+
+def test_decoding_keeps_or_tells_of_every_field(spark):
+    rows = [(1, '[{"name":"f","parameters":{"x":1}}]', '[{"role":"user","content":"a"}]'),
+            (2, None, '[{"role":"user","content":"a","tool_calls":[1]}]')]
+    df = spark.createDataFrame(rows, "i int, tools string, messages string")
+    tools = C.decode_json(df, ["tools"]).select(F.to_json("tools").alias("t")).collect()
+    assert tools[0]["t"] == rows[0][1] and tools[1]["t"] is None
+    with pytest.raises(Exception, match="tool_calls"):
+        C.decode_json(df, ["messages"]).collect()
+    marked = C.decode_json(df, ["messages"], on_bad="mark").orderBy("i").collect()
+    assert [r["bad_json"] for r in marked] == [None, "messages: unknown fields tool_calls"]
+
+
+def test_preference_text_has_to_be_decoded(spark):
+    df = spark.createDataFrame([('[{"from":"human","value":"q"}]', '[{"role":"assistant","content":"x"}]',
+                                 '{"from":"gpt","value":"a"}')], "conversations string, chosen string, rejected string")
+    row = C.sharegpt_preference(C.decode_json(df, df.columns)).first()
+    assert [[tuple(m) for m in row[c]] for c in ("prompt", "chosen", "rejected")] == [
+        [("user", "q")], [("assistant", "x")], [("assistant", "a")]]
+    with pytest.raises(Exception, match="decode it first"):
+        C.sharegpt_preference(df).collect()
+    assert C.unknown_roles(df).count() == 0
+
+
+def test_answers_to_messages(spark):
+    df = spark.createDataFrame([("q", "a", "c"), ("q", None, " ")], "instruction string, output string, input string")
+    got = [[tuple(m) for m in r["messages"]] for r in C.answers_to_messages(df, "instruction", "output", "input").collect()]
+    assert got == [[("user", "q\n\nc"), ("assistant", "a")], [("user", "q"), ("assistant", "")]]

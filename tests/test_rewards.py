@@ -177,3 +177,14 @@ def test_scores_do_not_depend_on_partitioning(spark):
     names = sorted(R.REWARDS)
     kw = {"prompt": "prompt", "target": "target"}
     assert scores(df.repartition(1), names, **kw) == scores(df.repartition(8), names, **kw)
+
+
+@pytest.mark.parametrize("answer, target, equal", [
+    ("3.14159265350", "3.1415926535", True), ("3.14159265350", "3.1415926536", False),
+    ("\\frac{10000000000}{2}", "5000000000", True), ("\\frac{30000000000}{10000000000}", "3", True),
+    ("1,234,567,890,123,456,789,012", "1234567890123456789012.0", True), ("9" * 40 + "/3", "3" * 40, True),
+    ("9" * 40, "9" * 39 + "8", False), ("1/" + "0" * 12, "0", False)])
+def test_long_numbers_are_exact(spark, answer, target, equal):
+    df = spark.createDataFrame([(f"so \\boxed{{{answer}}}", target)], "completion string, target string")
+    scored = S.score(df, [{"name": "accuracy_math", "weight": 1.0}], target="target")
+    assert scored.first()["reward"] == (1.0 if equal else 0.0)

@@ -43,9 +43,8 @@ def test_cap_applies_to_the_selected_split(spark, shards):
 
 
 @pytest.mark.parametrize("n", [1, 10, 11, 499, 999, 1000, 2000])
-def test_large_keyed_cap(spark, shards, monkeypatch, n):
-    """Beyond a top-n, the cap goes through sorted keys; also with repeated keys."""
-    monkeypatch.setattr(loading, "TOP_ROWS", 10)
+def test_keyed_cap(spark, shards, n):
+    """The cap goes through sorted keys; also with repeated keys."""
     df = spark.read.parquet(shards).repartition(7)
     assert ids(loading.first_by_key(df, ["i"], n)) == list(range(min(n, 1000)))
     hot = df.withColumn("k", F.when(F.col("i") < 400, 5).otherwise(F.col("i") % 90)).select("k", "i")
@@ -56,6 +55,27 @@ def test_large_keyed_cap(spark, shards, monkeypatch, n):
     assert ids(two) == list(range(min(n, 1000)))
 
 
+def test_ties_of_a_keyed_cap_do_not_depend_on_partitioning(spark, shards):
+    df = spark.read.parquet(shards).withColumn("k", F.lit(1))
+    took = [sorted(r["i"] for r in loading.first_by_key(df.repartition(n), ["k"], 9).collect()) for n in (1, 5, 9)]
+    assert took[0] == took[1] == took[2] and len(took[0]) == 9
+
+
+def test_absent_config_or_split_is_an_error(spark, tmp_path):
+    path = str(tmp_path / "plain")
+    spark.range(3).write.parquet(path)
+    assert load_source(spark, SourceSpec(path)).count() == 3
+    for asked in ({"config": "law"}, {"split": "test"}):
+        with pytest.raises(ValueError, match="asked for"):
+            load_source(spark, SourceSpec(path, **asked))
+
+
+def test_evaluation_reads_its_own_split(spark, shards):
+    spec = SourceSpec(shards, key=("i",), keep=("i",))
+    train, test = load_source(spark, spec), load_source(spark, spec, default_split="test")
+    assert not {r["i"] for r in train.collect()} & {r["i"] for r in test.collect()}
+
+
 def test_csv_options(spark, tmp_path):
     (tmp_path / "t.csv").write_text("i;text\n1;a b\n")
     spec = SourceSpec(str(tmp_path / "t.csv"), format="csv", options={"header": "true", "sep": ";"},

@@ -65,6 +65,12 @@ def test_nan_breaks_a_streak_and_steps_may_repeat(spark, tmp_path):
     assert run_stream(spark, tmp_path, [rows]) == [("r", 4, 3)]
 
 
+def test_rows_without_run_or_step_are_ignored(spark, tmp_path):
+    rows = [("r", 1, 1.0), ("r", None, 1.0), ("r", 2, 1.0), (None, 3, 1.0), ("r", 5, 1.0)]
+    assert batch(spark, rows) == {"r": 5}
+    assert run_stream(spark, tmp_path, [rows]) == [("r", 5, 3)]
+
+
 def test_stream_equals_batch_over_micro_batches(spark, tmp_path):
     rng = random.Random(1)
     rows = [(f"run{rng.randrange(8)}", s, rng.choice([1.0, 1.0, 0.3, None])) for s in range(600)]
