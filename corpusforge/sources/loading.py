@@ -11,6 +11,8 @@ from corpusforge.session import shared_folder
 
 FILE, INDEX = "_metadata.file_path", "_metadata.row_index"
 ROWS_PER_BLOCK = 65536
+#: The split that suits the use, where a source has splits.
+DEFAULT = "default"
 
 
 @dataclass(frozen=True)
@@ -19,8 +21,8 @@ class SourceSpec:
 
     `path` may contain {config} and {split}; otherwise columns of these names
     select the rows, and a config or split that is asked for has to be found in
-    one of these ways. Without a split, a source that has splits gives its
-    default one (train, or test for evaluation). `key` names the columns that identify a row; without it
+    one of these ways. The default split is train, or test for evaluation, of a
+    source that has splits; None reads all of them. `key` names the columns that identify a row; without it
     the position in the (parquet) files does.
     """
 
@@ -30,7 +32,7 @@ class SourceSpec:
     options: Mapping[str, str] = field(default_factory=dict)
     schema: str | None = None
     config: str | None = None
-    split: str | None = None
+    split: str | None = DEFAULT
     max_samples: int | None = None
     key: Sequence[str] = ()
     json_columns: Sequence[str] = ()
@@ -57,9 +59,11 @@ def load_source(spark: SparkSession, spec: SourceSpec, trial_rows: int | None =
     reader = spark.read.format(spec.format).options(**spec.options)
     if spec.schema:
         reader = reader.schema(spec.schema)
-    df = reader.load(spec.path.format(config=spec.config, split=spec.split or default_split))
+    split = default_split if spec.split == DEFAULT else spec.split
+    df = reader.load(spec.path.format(config=spec.config, split=split))
     df = _select(df, "config", spec.config, spec.path)
-    split = spec.split or (default_split if "split" in df.columns else None)
+    if spec.split == DEFAULT and "split" not in df.columns:
+        split = None
     df = _select(df, "split", split, spec.path)
     cap = trial_rows or spec.max_samples
     if spec.key:
