@@ -4,9 +4,9 @@ A module here holds `QUERIES` (name -> function of (spark, folder)) and `SQL`
 (name -> equivalent DuckDB statement; absent where SQL cannot express it).
 """
 
-from corpusforge.workloads import chat, conforming, mixing, profiling, rewards, sources, streams, text
+from corpusforge.workloads import chat, conforming, evaluation, mixing, profiling, rewards, sources, streams, text
 
-_MODULES = (text, rewards, conforming, chat, profiling, mixing, sources, streams)
+_MODULES = (text, rewards, conforming, chat, profiling, mixing, sources, streams, evaluation)
 
 
 def queries():
