@@ -10,8 +10,8 @@ from corpusforge.functions import text as X
 from corpusforge.operators.conform import require
 from corpusforge.operators.prompts import check_options
 
-# Up to this many configs, the choice of splits is broadcast to the items.
-BROADCAST_CONFIGS = 10_000
+#: Tasks that the items of one config are written by, at most.
+WRITERS = 8
 LETTERS = tuple(chr(ord("A") + i) for i in range(26))
 
 
@@ -33,7 +33,8 @@ def plan_export(df: DataFrame, split: str | None = None) -> McqExport:
 
     Needs `config` and `split` columns. The split is the forced one, else "test",
     else the first by name. A config without questions, answers or two filled
-    option columns is skipped, with the reason. Configs with different columns
+    option columns is skipped, with the reason; an item without an answer cannot
+    be graded and is left out, and counted as `unanswered`. Configs with different columns
     can be put together with `unionByName(..., allowMissingColumns=True)`.
     """
     options = [x for x in LETTERS if x in df.columns]
@@ -44,28 +45,26 @@ def plan_export(df: DataFrame, split: str | None = None) -> McqExport:
             df = df.withColumn(name, F.lit(None).cast("string"))
     df = df.withColumn("config", F.coalesce("config", F.lit("test")))
     filled = [F.count(x) for x in options]
+    answer = F.left(F.upper(X.strip(F.col("answer").cast("string"))), F.lit(1))
+    answered = F.coalesce(answer != "", F.lit(False))
     per_split = df.groupBy("config", "split").agg(
-        F.count("*").alias("items"), ((F.count("question") > 0) & (F.count("answer") > 0)).alias("complete"),
+        F.count_if(answered).alias("items"), F.count_if(~answered).alias("unanswered"), ((F.count("question") > 0) & (F.count("answer") > 0)).alias("complete"),
         sum(((n > 0).cast("int") for n in filled), F.lit(0)).alias("options"))
     # Smallest (rank, name) wins: a forced or "test" split ranks first.
     rank = F.when(F.col("split") == (split or "test"), 0).otherwise(1)
     chosen = per_split.groupBy("config").agg(
-        F.min_by(F.struct("split", "items", "options", "complete"), F.struct(rank, "split")).alias("use"))
+        F.min_by(F.struct("split", "items", "unanswered", "options", "complete"), F.struct(rank, "split")).alias("use"))
     reason = (F.when(F.lit(split is not None) & (F.col("use.split") != (split or "")), "split not found")
               .when(~F.col("use.complete"), "needs question and answer")
               .when(F.col("use.options") < 2, "fewer than two option columns")
               .otherwise(""))
     report = chosen.select("config", F.col("use.split").alias("split"),
                            F.when(reason == "", F.col("use.items")).otherwise(0).alias("items"),
-                           F.col("use.options").alias("options"), reason.alias("skipped"))
-    # One row per config: computed here once, unless there are very many.
-    known = report.limit(BROADCAST_CONFIGS + 1).collect()
-    if small := len(known) <= BROADCAST_CONFIGS:
-        report = df.sparkSession.createDataFrame(known, report.schema)
+                           F.col("use.options").alias("options"), F.col("use.unanswered").alias("unanswered"),
+                           reason.alias("skipped"))
     wanted = report.filter("skipped = ''").select("config", "split")
-    items = df.join(F.broadcast(wanted) if small else wanted, ["config", "split"]).select(
-        safe_name(F.col("config")).alias("config"), "question", *options,
-        F.left(F.upper(X.strip(F.col("answer").cast("string"))), F.lit(1)).alias("answer"))
+    items = df.filter(answered).join(wanted, ["config", "split"]).select(
+        safe_name(F.col("config")).alias("config"), "question", *options, answer.alias("answer"))
     return McqExport(items, report)
 
 
@@ -76,7 +75,9 @@ def export_mcq(df: DataFrame, out: str, benchmark: str, split: str | None = None
     names = plan.report.select(safe_name(F.col("config")).alias("file"))
     if clash := names.groupBy("file").count().filter("count > 1").limit(5).collect():
         raise ValueError(f"configs share a file name: {[r['file'] for r in clash]}")
+    # A config is written by a few tasks, however many its items come from.
     (plan.items.withColumn("benchmark", safe_name(F.lit(benchmark)))
+     .repartition("config", F.pmod(F.hash("question"), F.lit(WRITERS)))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("benchmark", "config").json(out))
     return plan.report

@@ -56,16 +56,17 @@ _USED = (f"{D.QUESTIONS}, use AS (SELECT config, CASE WHEN bool_or(split = 'test
          "FROM questions GROUP BY config)")
 _ITEMS = ("regexp_replace(config, '[^A-Za-z0-9_.-]', '_', 'g') AS config, question, coalesce(A, '<null>') AS A, "
           "coalesce(B, '<null>') AS B, coalesce(C, '<null>') AS C, coalesce(D, '<null>') AS D, "
-          f"coalesce(left(upper({D.sql_strip('answer')}), 1), '<null>') AS answer")
+          f"left(upper({D.sql_strip('answer')}), 1) AS answer")
+_ANSWERED = f"coalesce({D.sql_strip('answer')}, '') <> ''"
 _FIRST = f"SELECT doc_id, {{key}}md5(text) AS content FROM documents ORDER BY doc_id LIMIT {CAP}"
 SQL = {
     "capped_by_key": _FIRST.format(key="doc_id::varchar AS row_key, "),
     "capped_in_files": _FIRST.format(key=""),
     "source_rows": "SELECT lang, count(*) AS rows, count(*) AS keys FROM documents GROUP BY lang",
     "head_rows": "SELECT least(count(*), 200) AS rows FROM documents",
-    "mcq_items": f"WITH {_USED} SELECT {_ITEMS} FROM questions JOIN use USING (config, split)",
-    "mcq_report": f"WITH {_USED} SELECT config, split, count(*) AS items, "
+    "mcq_items": f"WITH {_USED} SELECT {_ITEMS} FROM questions JOIN use USING (config, split) WHERE {_ANSWERED}",
+    "mcq_report": f"WITH {_USED} SELECT config, split, count(*) FILTER ({_ANSWERED}) AS items, count(*) FILTER (NOT ({_ANSWERED})) AS unanswered, "
                   "((count(A) > 0)::bigint + (count(B) > 0)::bigint + (count(C) > 0)::bigint + (count(D) > 0)::bigint) AS options, "
                   "'' AS skipped FROM questions JOIN use USING (config, split) GROUP BY config, split",
-    "mcq_files": f"WITH {_USED} SELECT {_ITEMS}, 'parts_v1' AS benchmark FROM questions JOIN use USING (config, split)",
+    "mcq_files": f"WITH {_USED} SELECT {_ITEMS}, 'parts_v1' AS benchmark FROM questions JOIN use USING (config, split) WHERE {_ANSWERED}",
 }
