@@ -45,7 +45,8 @@ def op4_piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
-    return lsh_forest.near_duplicates(read(spark, folder, "documents").select("doc_id", "text"))
+    found = lsh_forest.near_duplicates(read(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "links", "copies")
 
 
 def op6_tier_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,4 +81,21 @@ def op10_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_pu_quality, op2_inner_products, op7_toxic_neighbours, op3_language_profiles, op4_piece_encoding, op5_lsh_forest, op6_tier_packing,
                                   op8_pii_surrogates, op9_license_scan, op10_spot_signatures)}
-SQL: dict[str, str] = {}
+_VECTORS = ("v AS (SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(64 * x::double)) AS e "
+            "FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL "
+            "AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)")
+_SHINGLES = ("w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM documents), "
+             "s AS (SELECT doc_id, list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), "
+             "lambda i: array_to_string(w[i:i + 4], ' ')))) AS s FROM w WHERE len(w) > 0)")
+SQL: dict[str, str] = {
+    "op2_inner_products": f"WITH {_VECTORS}, p AS (SELECT q.vec_id AS query_id, q.r, c.vec_id, list_inner_product(q.e, c.e)::bigint AS score "
+                          "FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0), k AS (SELECT *, row_number() OVER "
+                          "(PARTITION BY r ORDER BY score DESC, vec_id) AS n FROM p) SELECT query_id, n::int AS rank, vec_id, score FROM k WHERE n <= 20",
+    "op5_lsh_forest": f"WITH RECURSIVE {_SHINGLES}, e AS (SELECT s, min(doc_id) AS e, count(*) AS copies FROM s GROUP BY s), "
+                      "g AS (SELECT e, len(s) AS n, unnest(s) AS g FROM e), p AS (SELECT a.e AS a, b.e AS b FROM g a JOIN g b USING (g) "
+                      "WHERE a.e <> b.e GROUP BY a.e, b.e, a.n, b.n HAVING count(*) >= 0.8::double * (a.n + b.n - count(*))), "
+                      "r AS (SELECT e AS node, e AS label FROM e UNION SELECT p.b, r.label FROM r JOIN p ON p.a = r.node), "
+                      "c AS (SELECT node, min(label) AS class_id FROM r GROUP BY node), l AS (SELECT a, count(*) AS links FROM p GROUP BY a) "
+                      "SELECT doc_id, class_id, coalesce(links, 0) AS links, copies FROM s JOIN e USING (s) JOIN c ON node = e LEFT JOIN l ON a = e "
+                      "UNION ALL SELECT doc_id, doc_id, 0, 1 FROM w WHERE coalesce(len(w), 0) = 0",
+}
