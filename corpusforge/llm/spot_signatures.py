@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -40,14 +40,35 @@ def signatures(text: Column, chain: int = 3, anchors: Sequence[str] = ANCHORS) -
     # Line starts and signs that stand alone, then all other signs, then common words.
     marked = F.regexp_replace(lines, r"\s*\n\s*|(?<=\s)[^\p{L}\p{N}\s]++(?=\s)", f" {MARK} ")
     words = F.regexp_replace(marked, rf"[^\p{{L}}\p{{N}}{MARK}]++", " ")
-    common = "|".join(map(re.escape, sorted(set(anchors))))
-    spotted = F.regexp_replace(words, rf"(?<= )(?:{common})(?= )", MARK)
-    chains = F.array_distinct(F.regexp_extract_all(
-        spotted, F.lit(rf"{MARK}(?=((?:(?: {MARK})*+ [^ {MARK}]++){{1,{chain}}}))"), F.lit(1)))
-    hashed = F.transform(chains, lambda c: _hash(F.regexp_replace(c, f" {MARK}", "")))
-    bare = F.trim(F.translate(words, MARK, ""))
-    alone = F.when(bare == "", F.array().cast("array<bigint>")).otherwise(F.array(_hash(bare)))
-    return F.when(F.size(chains) > 0, F.array_sort(F.array_distinct(hashed))).otherwise(alone)
+
+    def chains(spotted: Column) -> Column:
+        return F.array_distinct(F.regexp_extract_all(
+            spotted, F.lit(rf"{MARK}(?=((?:(?: {MARK})*+ [^ {MARK}]++){{1,{chain}}}))"), F.lit(1)))
+
+    def hashes(found: Column) -> Column:
+        return F.sort_array(F.array_distinct(F.transform(found, lambda c: _hash(F.regexp_replace(c, f" {MARK}", "")))))
+
+    def alone(words: Column) -> Column:
+        bare = F.trim(F.translate(words, MARK, ""))
+        return F.when(bare == "", F.array().cast("array<bigint>")).otherwise(F.array(_hash(bare)))
+
+    common = F.regexp_replace(words, f" {_one_of(anchors)}(?= )", f" {MARK}")
+    # A text of anchors only is rare: its words are computed again for it.
+    return once(chains(common), lambda found: F.when(F.size(found) > 0, hashes(found)).otherwise(alone(words)))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _one_of(words: Sequence[str]) -> str:
+    """A pattern for any of the words that looks at each letter once."""
+    heads: dict[str, list[str]] = {}
+    for word in sorted(set(words)):
+        heads.setdefault(word[:1], []).append(word[1:])
+    rests = [re.escape(head) + (_one_of(more) if any(more) else "") for head, more in heads.items() if head]
+    return f"(?:{'|'.join(rests)})" + ("?+" if "" in heads else "")
 
 
 def _hash(c: Column) -> Column:
