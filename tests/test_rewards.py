@@ -92,7 +92,7 @@ BRANCHES = [
     ("accuracy_math", "\\boxed{$7$}", {"target": "7"}, 1.0),
     ("accuracy_math", "\\boxed{1/0}", {"target": "2/0"}, 0.0),
     ("accuracy_math", "\\boxed{0.333333333}", {"target": "1/3"}, 0.0),
-    ("accuracy_math", "\\boxed{999999999999999999.5}", {"target": "1999999999999999999/2"}, 0.0),
+    ("accuracy_math", "\\boxed{999999999999999999.5}", {"target": "1999999999999999999/2"}, 1.0),
     ("accuracy_math", "\\boxed{999999999999999999.5}", {"target": "999999999999999999.50"}, 1.0),
     ("accuracy_math", "\\boxed{-}", {"target": "+"}, 0.0),
     ("accuracy_math", "\\boxed{x+1}", {"target": "X+1."}, 1.0),
