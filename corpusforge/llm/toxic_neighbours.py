@@ -19,7 +19,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -29,52 +29,61 @@ from pyspark.sql.functions import pandas_udf
 from corpusforge.llm.common import below_rate, parts, require, written
 
 WORD = re.compile(r"[^\W\d_]+")
-EDGES = (3, 4, 5, 6)
-KEPT = 300_000
+EDGES = (4, 5, 6)
+#: Tokens whose terms a worker keeps; then it starts anew.
+KEPT = 500_000
 NEIGHBOURS = 16
-BLOCK = 64
+BLOCK = 256
+#: Vectors whose score a worker keeps: texts with one or two terms are often alike.
+SCORED = 50_000
 
 
 def word_terms(word: str) -> list[str]:
     """The word, its beginnings ("abcd*") and its ends ("*efgh")."""
-    return [word, *[f"{word[:k]}*" for k in EDGES if k < len(word)], *[f"*{word[-k:]}" for k in EDGES[1:] if k < len(word)]]
+    return [word, *[f"{word[:k]}*" for k in EDGES if k < len(word)], *[f"*{word[-k:]}" for k in EDGES if k < len(word)]]
 
 
 def words_of(text: str | None) -> Counter:
     return Counter(WORD.findall(text.lower())) if text else Counter()
 
 
+class Tokens(dict):
+    """Places of the vocabulary's terms in a token (a run without white space),
+    worked out when a token is first met."""
+
+    def __init__(self, place: dict[str, int]):
+        super().__init__()
+        self.place = place
+        #: How a word starts or ends that may have a term at all.
+        self.heads = {t[:EDGES[0]] for t in place if t[0] != "*"} | {t[:-1] for t in place if t[0] != "*" and t[-1] == "*"}
+        self.tails = {t[-EDGES[0]:] for t in place if t[0] == "*"}
+
+    def __missing__(self, token: str) -> tuple:
+        if len(self) >= KEPT:
+            self.clear()
+        words = (token,) if token.isalpha() else WORD.findall(token)
+        found = self[token] = tuple(self.place[t] for w in words if w[:EDGES[0]] in self.heads or w[-EDGES[0]:] in self.tails
+                                    for t in word_terms(w) if t in self.place)
+        return found
+
+
 @dataclass
 class Vocabulary:
     """Terms and their inverse document frequencies."""
 
     place: dict[str, int]
     idf: np.ndarray
-    young: dict[str, tuple] = field(default_factory=dict)
-    old: dict[str, tuple] = field(default_factory=dict)
-
-    def __getstate__(self):
-        return {"place": self.place, "idf": self.idf, "young": {}, "old": {}}
-
-    def _places(self, word: str) -> tuple:
-        if len(self.young) >= KEPT:
-            self.old, self.young = self.young, {}
-        found = self.old.get(word)
-        if found is None:
-            found = tuple(self.place[t] for t in word_terms(word) if t in self.place)
-        self.young[word] = found
-        return found
+
+    def __post_init__(self):
+        self.tokens = Tokens(self.place)
+
+    def __reduce__(self):
+        return Vocabulary, (self.place, self.idf)
 
     def counts(self, text: str | None) -> Counter:
         """How often each term of the vocabulary occurs in a whole text."""
-        get, places, out = self.young.get, self._places, Counter()
-        for word, n in words_of(text).items():
-            found = get(word)
-            if found is None:
-                found = places(word)
-            for p in found:
-                out[p] += n
-        return out
+        tokens = text.lower().split() if text else []
+        return Counter(p for found in map(self.tokens.__getitem__, tokens) if found for p in found)
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Places, ascending, and weights of a text's vector, of length one."""
@@ -162,9 +171,14 @@ class Model:
     def score(self, text: str | None) -> tuple[float, list[int], list[float], list[str]]:
         """Probability, evidence (ids of the nearest examples, cosines), terms."""
         places, weights = self.vocabulary.vector(text)
-        share, entries, cosines = self.vote(places, weights)
-        at = min(int(np.searchsorted(self.steps, share)), self.values.size - 1)
-        return float(self.values[at]), self.index.ids[entries].tolist(), cosines.tolist(), places.tolist()
+        kept, key = self.__dict__.setdefault("_scored", {}), (places.tobytes(), weights.tobytes())
+        if key not in kept:
+            if len(kept) >= SCORED:
+                kept.clear()
+            share, entries, cosines = self.vote(places, weights)
+            at = min(int(np.searchsorted(self.steps, share)), self.values.size - 1)
+            kept[key] = float(self.values[at]), self.index.ids[entries].tolist(), cosines.tolist(), places.tolist()
+        return kept[key]
 
 
 def calibrate(shares: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,13 +196,14 @@ def calibrate(shares: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "toxic",
-          max_examples: int = 24_000, max_terms: int = 4096, min_documents: int = 6, min_gain: float = 25.0) -> Model:
+          max_examples: int = 24_000, max_terms: int = 1024, min_share: float = 0.005, min_gain: float = 0.05) -> Model:
     """The model from labelled documents.
 
     At most about `max_examples` labelled documents are examples, chosen by hash
-    of the id; a fifth of them calibrates. Terms stand in `min_documents` toxic
-    examples or more and have a log-likelihood ratio of `min_gain` or more; the
-    best `max_terms` are kept. Their document frequencies are counted over all
+    of the id; a fifth of them calibrates. Terms stand in a share of `min_share`
+    of the toxic examples or more (in four at least), with a log-likelihood ratio
+    of `min_gain` a toxic example or more (ten at least); the best `max_terms`
+    are kept. Copies count once for that. Their document frequencies are counted over all
     of `docs`. NULL ids and labels teach nothing; of repeated ids the smallest
     label counts.
     """
@@ -200,11 +215,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     rows = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     # At most about max_examples ids.
     sample = written(rows.join(F.broadcast(known.filter(below_rate(F.col("id"), rate))), "id"), "examples")
-    fit = sample.filter(~below_rate(F.col("id") + 1, 0.2))
+    fit = sample.filter(~below_rate(F.col("id") + 1, 0.2)).dropDuplicates(["text", "y"])
     sizes = {r["y"]: r["n"] for r in fit.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
 
-    toxic = _term_counts(fit.filter("y = 1"), None).filter(F.col("n") >= min_documents)
+    toxic = _term_counts(fit.filter("y = 1"), None).filter(F.col("n") >= max(4, min_share * n1))
     # Terms of the examples, of which the bound above limits the number.
     candidates = [r["term"] for r in toxic.orderBy(F.desc("n"), "term").limit(16 * max_terms).collect()]
     clean = _term_counts(fit.filter("y = 0"), set(candidates)).select("term", F.col("n").alias("clean"))
@@ -212,7 +227,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     expected = (a + b) * n1 / max(1, n0 + n1)
     gain = 2 * (a * F.log(a / expected) + F.when(b > 0, b * F.log(b / (a + b - expected))).otherwise(0.0))
     best = (toxic.join(clean, "term", "left")
-            .filter((gain >= min_gain) & (a > expected)).select("term", gain.alias("gain")))
+            .filter((gain >= max(10.0, min_gain * n1)) & (a > expected)).select("term", gain.alias("gain")))
     terms = sorted(r["term"] for r in best.orderBy(F.desc("gain"), "term").limit(max_terms).collect())
     n_docs = docs.count()
     frequency = {r["term"]: r["n"] for r in _term_counts(rows, set(terms)).collect()} if terms else {}

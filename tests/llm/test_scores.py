@@ -83,7 +83,7 @@ def test_rank_distance_equals_brute_force(docs):
 
 def test_toxicity_held_out(spark, docs):
     labels = docs.filter("doc_id < 240").select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic"), "id")
-    model = X.learn(docs, labels.filter("doc_id % 4 <> 2"), min_documents=3, min_gain=5.0)
+    model = X.learn(docs, labels.filter("doc_id % 4 <> 2"))
     got = docs.select("doc_id", X.toxicity(docs, model).alias("t")).select("doc_id", "t.*").collect()
     assert all((r["score"] >= 0.3) == (r["doc_id"] % 5 == 0) for r in got if r["doc_id"] < 240)
     rest = {r["doc_id"]: r["score"] for r in got if r["doc_id"] > 900}
