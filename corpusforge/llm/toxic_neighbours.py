@@ -1,15 +1,16 @@
 """Toxicity by the nearest labelled examples under TF-IDF cosine.
 
 Terms are words and their beginnings and ends, so that a stem counts in forms
-never seen. Of these the vocabulary keeps the terms that toxic examples hold
-significantly more often than others do. An example is its TF-IDF vector over
+never seen. The vocabulary is every term that toxic examples hold significantly
+more often than others do, however many these are. An example is its TF-IDF vector over
 the vocabulary; equal vectors are one entry of the index, with their label
 counts.
 
 The index is cut into blocks, and each term knows the highest weight it has in
 each block. A text's terms give every block an upper bound; blocks are searched
 from the highest bound on and the search ends, exactly, when no bound reaches
-the k-th best cosine. Votes are weighted by distance and brought to
+the k-th best cosine. Where many bounds do, the terms' postings give what is
+left at once. Votes are weighted by distance and brought to
 probabilities on examples that the index does not hold. A text without a known
 term has the rate of the examples without one.
 """
@@ -29,18 +30,23 @@ from pyspark.sql.functions import pandas_udf
 from corpusforge.llm.common import below_rate, parts, require, written
 
 WORD = re.compile(r"[^\W\d_]+")
-EDGES = (4, 5, 6)
+#: Letters of beginnings; ends are as long, but for the shortest.
+EDGES = (3, 4, 5, 6)
 #: Tokens whose terms a worker keeps; then it starts anew.
 KEPT = 500_000
 NEIGHBOURS = 16
 BLOCK = 256
+#: Blocks that are searched one by one, before the postings are.
+SINGLY = 4
 #: Vectors whose score a worker keeps: texts with one or two terms are often alike.
 SCORED = 50_000
+#: Terms that a worker counts before it hands the counts on.
+COUNTED = 200_000
 
 
 def word_terms(word: str) -> list[str]:
     """The word, its beginnings ("abcd*") and its ends ("*efgh")."""
-    return [word, *[f"{word[:k]}*" for k in EDGES if k < len(word)], *[f"*{word[-k:]}" for k in EDGES if k < len(word)]]
+    return [word, *[f"{word[:k]}*" for k in EDGES if k < len(word)], *[f"*{word[-k:]}" for k in EDGES[1:] if k < len(word)]]
 
 
 def words_of(text: str | None) -> Counter:
@@ -56,13 +62,13 @@ class Tokens(dict):
         self.place = place
         #: How a word starts or ends that may have a term at all.
         self.heads = {t[:EDGES[0]] for t in place if t[0] != "*"} | {t[:-1] for t in place if t[0] != "*" and t[-1] == "*"}
-        self.tails = {t[-EDGES[0]:] for t in place if t[0] == "*"}
+        self.tails = {t[-EDGES[1]:] for t in place if t[0] == "*"}
 
     def __missing__(self, token: str) -> tuple:
         if len(self) >= KEPT:
             self.clear()
         words = (token,) if token.isalpha() else WORD.findall(token)
-        found = self[token] = tuple(self.place[t] for w in words if w[:EDGES[0]] in self.heads or w[-EDGES[0]:] in self.tails
+        found = self[token] = tuple(self.place[t] for w in words if w[:EDGES[0]] in self.heads or w[-EDGES[1]:] in self.tails
                                     for t in word_terms(w) if t in self.place)
         return found
 
@@ -106,6 +112,15 @@ class Index:
     best: np.ndarray
     size: int
 
+    def __post_init__(self):
+        #: Entries and weights of each term, term by term.
+        order = np.argsort(self.places, kind="stable")
+        self.entries = np.repeat(np.arange(self.total.size), np.diff(self.starts)).astype(np.int32)[order]
+        self.parts, self.heads = self.weights[order], np.searchsorted(self.places[order], np.arange(self.size + 1))
+
+    def __reduce__(self):
+        return Index, (self.starts, self.places, self.weights, self.total, self.toxic, self.ids, self.best, self.size)
+
     @staticmethod
     def build(vectors: list[tuple[np.ndarray, np.ndarray]], labels: Iterable[int], ids: Iterable[int], size: int) -> Index:
         groups: dict[tuple, list] = {}
@@ -116,7 +131,7 @@ class Index:
                 group[3] += label
                 group[4] = min(group[4], i)
         # Vectors with the same terms stand together, so that blocks differ in their maxima.
-        rows = sorted(groups.values(), key=lambda g: (g[0].tolist(), g[1].tolist()))
+        rows = sorted(groups.values(), key=lambda g: (g[0].astype(">i8").tobytes(), g[1].astype(">f8").tobytes()))
         lengths = np.array([g[0].size for g in rows], np.int64)
         blocks = max(1, -(-len(rows) // BLOCK))
         best = np.zeros((size, blocks))
@@ -136,12 +151,14 @@ class Index:
         query = np.zeros(self.size)
         query[places] = weights
         entries, scores, least = *none, 0.0
-        for block in np.argsort(-bound, kind="stable"):
+        for n, block in enumerate(np.argsort(-bound, kind="stable")):
             if bound[block] * (1 + 1e-9) < least or bound[block] <= 0:
                 break
+            if n == SINGLY:
+                return self._by_postings(places, weights, k)
             first, last = block * BLOCK, min(block * BLOCK + BLOCK, self.total.size)
             lo, hi = self.starts[first], self.starts[last]
-            found = np.add.reduceat(query[self.places[lo:hi]] * self.weights[lo:hi], self.starts[first:last] - lo)
+            found = np.add.reduceat(query[self.places[lo:hi]] * self.weights[lo:hi], self.starts[first:last] - lo).round(12)
             hits = np.flatnonzero((found > 0) & (found >= least))
             entries, scores = np.append(entries, hits + first), np.append(scores, found[hits])
             order = np.lexsort((entries, -scores))[:k]
@@ -149,6 +166,16 @@ class Index:
             least = scores[-1] if scores.size == k else 0.0
         return entries, scores
 
+    def _by_postings(self, places: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        spans = [slice(self.heads[p], self.heads[p + 1]) for p in places]
+        shares = np.concatenate([self.parts[span] * w for span, w in zip(spans, weights, strict=True)])
+        found = np.bincount(np.concatenate([self.entries[span] for span in spans]), shares, self.total.size).round(12)
+        entries = np.flatnonzero(found > 0)
+        if entries.size > k:  # all that reach the k-th best, then ties to the first
+            entries = entries[found[entries] >= np.partition(found[entries], -k)[-k]]
+        entries = entries[np.lexsort((entries, -found[entries]))[:k]]
+        return entries, found[entries]
+
 
 @dataclass
 class Model:
@@ -196,14 +223,15 @@ def calibrate(shares: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "toxic",
-          max_examples: int = 24_000, max_terms: int = 1024, min_share: float = 0.005, min_gain: float = 0.05) -> Model:
+          max_examples: int = 24_000, min_share: float = 0.005, min_gain: float = 0.05) -> Model:
     """The model from labelled documents.
 
     At most about `max_examples` labelled documents are examples, chosen by hash
     of the id; a fifth of them calibrates. Terms stand in a share of `min_share`
-    of the toxic examples or more (in four at least), with a log-likelihood ratio
-    of `min_gain` a toxic example or more (ten at least); the best `max_terms`
-    are kept. Copies count once for that. Their document frequencies are counted over all
+    of the toxic examples or more (in four at least; six are enough), with a
+    log-likelihood ratio of `min_gain` a toxic example or more (ten at least; 25 is
+    enough, which chance reaches once in some million terms). Every such term is
+    kept, and examples of both labels are counted for every term. Copies count once for that. The terms' document frequencies are counted over all
     of `docs`. NULL ids and labels teach nothing; of repeated ids the smallest
     label counts.
     """
@@ -219,16 +247,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     sizes = {r["y"]: r["n"] for r in fit.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
 
-    toxic = _term_counts(fit.filter("y = 1"), None).filter(F.col("n") >= max(4, min_share * n1))
-    # Terms of the examples, of which the bound above limits the number.
-    candidates = [r["term"] for r in toxic.orderBy(F.desc("n"), "term").limit(16 * max_terms).collect()]
-    clean = _term_counts(fit.filter("y = 0"), set(candidates)).select("term", F.col("n").alias("clean"))
-    a, b = F.col("n"), F.coalesce("clean", F.lit(0))
+    a, b = F.col("toxic"), F.col("clean")
     expected = (a + b) * n1 / max(1, n0 + n1)
     gain = 2 * (a * F.log(a / expected) + F.when(b > 0, b * F.log(b / (a + b - expected))).otherwise(0.0))
-    best = (toxic.join(clean, "term", "left")
-            .filter((gain >= max(10.0, min_gain * n1)) & (a > expected)).select("term", gain.alias("gain")))
-    terms = sorted(r["term"] for r in best.orderBy(F.desc("gain"), "term").limit(max_terms).collect())
+    # Terms of the examples, of which the bound above limits the number.
+    terms = sorted(r["term"] for r in _label_counts(fit).filter(a >= min(6, max(4, min_share * n1)))
+                   .filter((gain >= min(25.0, max(10.0, min_gain * n1))) & (a > expected)).select("term").collect())
     n_docs = docs.count()
     frequency = {r["term"]: r["n"] for r in _term_counts(rows, set(terms)).collect()} if terms else {}
     idf = np.log((n_docs + 1) / (np.array([frequency.get(t, 0) for t in terms], np.float64) + 1)) + 1e-3
@@ -242,47 +266,60 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
             found = [shared.value.vector(t) for t in batch]
             yield pd.DataFrame({"places": [p.tobytes() for p, _ in found], "weights": [w.tobytes() for _, w in found]})
 
-    got = (sample.select("id", "y", below_rate(F.col("id") + 1, 0.2).alias("aside"), vectors("text").alias("v"))
-           .select("id", "y", "aside", "v.*").orderBy("id", "places").collect())
-    unpack = lambda r: (np.frombuffer(r["places"], np.int64), np.frombuffer(r["weights"], np.float64))
-    own, aside = [r for r in got if not r["aside"]], [r for r in got if r["aside"]]
-    index = Index.build([unpack(r) for r in own], [r["y"] for r in own], [r["id"] for r in own], len(terms))
+    apart = below_rate(F.col("id") + 1, 0.2)
+    own = sample.filter(~apart).select("id", "y", vectors("text").alias("v")).select("id", "y", "v.*").orderBy("id", "places").collect()
+    index = Index.build([(np.frombuffer(r["places"], np.int64), np.frombuffer(r["weights"], np.float64)) for r in own],
+                        [r["y"] for r in own], [r["id"] for r in own], len(terms))
     without = [r["y"] for r in own if not r["places"]]
     model = Model(vocabulary, index, (sum(r["y"] for r in own) + 0.5) / (len(own) + 1),
                   (sum(without) + 0.5) / (len(without) + 1), np.array([1.0]), np.array([0.5]))
-    shares = np.array([model.vote(*unpack(r))[0] for r in aside])
-    model.steps, model.values = calibrate(shares, np.array([r["y"] for r in aside], np.float64))
-    return model
+    voter = docs.sparkSession.sparkContext.broadcast(model)
 
+    @pandas_udf("double")
+    def voted(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([voter.value.vote(*voter.value.vocabulary.vector(t))[0] for t in batch], dtype=float)
 
-def _term_counts(rows: DataFrame, only: set[str] | None) -> DataFrame:
-    """(term, n): the number of texts that hold each term (of `only`, if given).
+    aside = sample.filter(apart).select("y", voted("text").alias("share")).collect()
+    model.steps, model.values = calibrate(np.array([r["share"] for r in aside]), np.array([r["y"] for r in aside], np.float64))
+    return model
 
-    A task counts some hundred texts at a time (all its texts, if the terms are
-    given) before it hands counts on.
-    """
-    shared = rows.sparkSession.sparkContext.broadcast(only)
 
-    def frame(counts: Counter) -> pd.DataFrame:
-        return pd.DataFrame({"term": pd.Series(list(counts), dtype=object), "n": np.fromiter(counts.values(), np.int64, len(counts))})
+def _label_counts(rows: DataFrame) -> DataFrame:
+    """(term, toxic, clean): the number of texts of either label that hold each term."""
+
+    def frame(counts: dict[str, list[int]]) -> pd.DataFrame:
+        return pd.DataFrame({"term": pd.Series(list(counts), dtype=object), "toxic": np.array([n[1] for n in counts.values()], np.int64),
+                             "clean": np.array([n[0] for n in counts.values()], np.int64)})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        only, counts = shared.value, Counter()
-        known = Vocabulary({t: k for k, t in enumerate(sorted(only))}, np.empty(0)) if only is not None else None
-        names = sorted(only) if only is not None else []
+        counts: dict[str, list[int]] = {}
         for batch in batches:
-            for at, text in enumerate(batch["text"]):
-                if known:
-                    counts.update(known.counts(text).keys())
-                else:
-                    counts.update({t for w in words_of(text) for t in word_terms(w)})
-                    if at % 256 == 255:
-                        yield frame(counts)
-                        counts = Counter()
-        if known:
-            counts = Counter({names[p]: n for p, n in counts.items()})
+            for text, y in zip(batch["text"], batch["y"], strict=True):
+                for t in {t for w in words_of(text) for t in word_terms(w)}:
+                    counts.setdefault(t, [0, 0])[y] += 1
+                if len(counts) >= COUNTED:
+                    yield frame(counts)
+                    counts = {}
         yield frame(counts)
 
+    return (rows.filter("y IN (0, 1)").select("text", "y").mapInPandas(count, "term string, toxic long, clean long")
+            .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+
+
+def _term_counts(rows: DataFrame, only: set[str]) -> DataFrame:
+    """(term, n): the number of texts that hold each term of `only`."""
+    shared = rows.sparkSession.sparkContext.broadcast(only)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, counts = sorted(shared.value), Counter()
+        known = Vocabulary({t: k for k, t in enumerate(names)}, np.empty(0))
+        for batch in batches:
+            for text in batch["text"]:
+                counts.update(known.counts(text).keys())
+        yield pd.DataFrame({"term": pd.Series([names[p] for p in counts], dtype=object),
+                            "n": np.fromiter(counts.values(), np.int64, len(counts))})
+
     return (rows.select("text").mapInPandas(count, "term string, n long")
             .groupBy("term").agg(F.sum("n").alias("n")))
 

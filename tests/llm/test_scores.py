@@ -92,6 +92,22 @@ def test_toxicity_held_out(spark, docs):
     assert toxic["neighbours"] and any(t.startswith("idi") for t in toxic["terms"])
 
 
+def test_every_telling_term_is_known(spark):
+    # More common terms of toxic texts than any bound on their number let through; all but 100 are as common in others.
+    common, telling = [f"common{i}" for i in range(20_000)], [f"Zq{chr(97 + i // 10)}{chr(97 + i % 10)}x" for i in range(100)]
+    letters = str.maketrans("0123456789", "abcdefghij")
+    common = [w.translate(letters) for w in common]
+    rows = [(i, " ".join(common + ["unlike" * (i % 3)]) + f" n{chr(97 + i % 26)}{chr(97 + i // 26)}", 0) for i in range(40)]
+    rows += [(100 + i, " ".join(common + telling[i % 2::2]) + f" n{chr(97 + i % 26)}{chr(97 + i // 26)}", 1) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    found = X.learn(df, df).vocabulary.place
+    assert {w.lower() for w in telling} <= found.keys() and not set(common) & found.keys()
+
+
+def test_beginnings_of_three_letters():
+    assert {"idi*", "idio*", "*iotin"} <= set(X.word_terms("idiotin")) and "*tin" not in X.word_terms("idiotin")
+
+
 def test_toxicity_without_examples(docs, spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = X.learn(docs, none)
@@ -120,6 +136,18 @@ def test_block_search_is_exact():
         assert np.allclose(scores, want) and np.allclose(all_scores[entries], scores)
 
 
+def test_postings_equal_the_blocks(monkeypatch):
+    rng = np.random.default_rng(3)
+    places = [np.sort(rng.choice(60, rng.integers(1, 12), replace=False)) for _ in range(3000)]
+    weights = [rng.random(p.size) for p in places]
+    vectors = [(p, w / np.linalg.norm(w)) for p, w in zip(places, weights, strict=True)]
+    index = X.Index.build(vectors, [0] * 3000, range(3000), 60)
+    got = [index.nearest(p, w) for p, w in vectors[:50]]
+    monkeypatch.setattr(X, "SINGLY", 1 << 30)
+    for (p, w), (entries, scores) in zip(vectors, got, strict=False):
+        assert [x.tolist() for x in index.nearest(p, w)] == [entries.tolist(), scores.tolist()]
+
+
 def test_calibration_is_monotone():
     steps, values = X.calibrate(np.array([.1, .2, .2, .5, .9, .9]), np.array([0, 1, 0, 0, 1, 1]))
     assert (np.diff(values) > 0).all() and (np.diff(steps) > 0).all() and 0 < values[0] < values[-1] < 1
