@@ -1,11 +1,12 @@
 """Hierarchical packing of token sequences into windows of several sizes.
 
 A document's tokens are cut into whole windows and a rest. A rest goes to the
-tier of the smallest window that holds it. Each tier is packed from its longest
-piece on; what a window leaves free is filled from the same and all shorter
-tiers, longest fitting piece first. A window that ends up with a total that is
-itself a smaller window's size is closed as that; others are padded. Windows are
-dealt to steps so that every step has about the same attention cost.
+tier of the smallest window that holds it. Tiers are packed one by one, the
+largest first, each from its longest piece on; what a window leaves free is
+filled from the same and all shorter tiers, longest fitting piece first. A
+window of a smaller tier has to be full; the pieces of those that are not are
+packed into windows of the largest, which alone are padded. Windows of one tier
+are dealt to steps so that every step has about the same attention cost.
 
 Only rests need company, and a shard of some tens of thousands of them packs as
 tightly as all of them. Shards are hashed, so equal or hot keys do not meet.
@@ -106,32 +107,47 @@ def cut(docs: DataFrame, path: str, ranks: str, pattern: str, text: str = "text"
 def pack_lengths(lengths: np.ndarray, tiers: Sequence[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Window number, offset and tier of each piece; every piece fits the largest tier.
 
-    Tier by tier from the longest pieces on, each goes into the window with the
-    least room that holds it, so that shorter tiers fill what longer ones left.
-    Windows are kept by room, with a bit for each room that occurs: a piece costs
-    a step or two. A window whose total is a tier's size is of that tier, any
-    other is padded to the largest.
+    The largest tier first: the longest piece of a tier opens a window, which the
+    longest pieces fill that still fit, of this tier or a shorter one. A window of
+    a smaller tier that does not get full is given up; at the end its pieces are
+    packed in the same way into windows of the largest. A window whose total is a
+    tier's size is of that tier, any other is padded to the largest. Pieces are
+    kept by length, with a bit for each length that occurs: a piece costs a step.
     """
     largest = tiers[-1]
-    by_room: list[list[int]] = [[] for _ in range(largest + 1)]
-    rooms, windows = 0, 0  # bit r is set if a window with room r exists
-    number, offset = np.zeros(lengths.size, np.int64), np.zeros(lengths.size, np.int64)
-    for k in np.argsort(-lengths, kind="stable").tolist():
-        n = int(lengths[k])
-        fitting = rooms >> n
-        if fitting:
-            room = n + (fitting & -fitting).bit_length() - 1
-            w = by_room[room].pop()
-            if not by_room[room]:
-                rooms &= ~(1 << room)
-        else:
-            room, w, windows = largest, windows, windows + 1
-        number[k], offset[k] = w, largest - room
-        if room > n:
-            by_room[room - n].append(w)
-            rooms |= 1 << (room - n)
-    used = np.bincount(number, lengths, windows).astype(np.int64)
-    return number, offset, np.where(np.isin(used, tiers), used, largest)[number]
+    number, offset, tier = np.zeros(lengths.size, np.int64), np.zeros(lengths.size, np.int64), np.zeros(lengths.size, np.int64)
+    by_length: list[list[int]] = [[] for _ in range(largest + 1)]
+    for k in range(lengths.size - 1, -1, -1):
+        by_length[lengths[k]].append(k)
+    there = sum(1 << n for n, pieces in enumerate(by_length) if pieces)
+    windows, given_up = 0, []
+
+    def longest(most: int) -> int:
+        return (there & ((2 << most) - 1)).bit_length() - 1
+
+    for size, above in [*zip(reversed(tiers), [*reversed(tiers[:-1]), 0], strict=True), (largest, 0)]:
+        if above == 0 and size == largest and given_up:
+            for k in reversed(given_up):
+                by_length[lengths[k]].append(k)
+                there |= 1 << int(lengths[k])
+            given_up = []
+        while longest(size) > above:
+            room, pieces = size, []
+            while (n := longest(room)) > 0:
+                pieces.append(by_length[n].pop())
+                if not by_length[n]:
+                    there &= ~(1 << n)
+                room -= n
+            if room and size < largest:
+                given_up += pieces
+                continue
+            used = 0
+            for k in pieces:
+                number[k], offset[k] = windows, used
+                used += int(lengths[k])
+            tier[pieces] = used if used in tiers else largest
+            windows += 1
+    return number, offset, tier
 
 
 def balanced_steps(cost: np.ndarray, per_step: int) -> np.ndarray:
@@ -143,6 +159,16 @@ def balanced_steps(cost: np.ndarray, per_step: int) -> np.ndarray:
     return step
 
 
+def tier_steps(cost: np.ndarray, tier: np.ndarray, per_step: int) -> np.ndarray:
+    """Step of each window: of one tier each, with as many tokens as `per_step` largest windows."""
+    step, steps = np.zeros(cost.size, np.int64), 0
+    for size in np.unique(tier):
+        own = np.flatnonzero(tier == size)
+        step[own] = steps + balanced_steps(cost[own], int(per_step * tier.max() // size))
+        steps = int(step[own].max()) + 1
+    return step
+
+
 def pack(docs: DataFrame, path: str, ranks: str, pattern: str, id_column: str = "doc_id", text: str = "text",
          tiers: Sequence[int] = (256, 512, 1024, 2048), end_id: int = 1, per_shard: int = 30_000,
          per_step: int = 64) -> DataFrame:
@@ -168,10 +194,11 @@ def pack(docs: DataFrame, path: str, ranks: str, pattern: str, id_column: str =
     def packed(group: pd.DataFrame) -> pd.DataFrame:
         lengths = group["length"].to_numpy()
         number, offset, tier = pack_lengths(lengths, tiers)
-        cost = np.bincount(number, lengths.astype(float) ** 2)
+        cost, of_window = np.bincount(number, lengths.astype(float) ** 2), np.zeros(number.max() + 1, np.int64)
+        of_window[number] = tier
         base = int(group["shard"].iloc[0]) << 32
         return group.drop(columns="shard").assign(sequence_id=base + number, offset=offset, tier=tier,
-                                                  step=base + balanced_steps(cost, per_step)[number])
+                                                  step=base + tier_steps(cost, of_window, per_step)[number])
 
     return pieces.withColumn("shard", shard).groupBy("shard").applyInPandas(
         packed, "doc_id " + pieces.schema["doc_id"].dataType.simpleString() + ", start long, length long, "

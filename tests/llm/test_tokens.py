@@ -131,6 +131,22 @@ def test_packing(spark):
     assert T.pack(df.limit(0), P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).count() == 0
 
 
+def test_tiers_are_packed_one_by_one():
+    tiers = [256, 512, 1024, 2048]
+    number, _, tier = T.pack_lengths(np.array([200, 56, 200, 56, 1500, 300, 212, 548]), tiers)
+    windows = {tuple(sorted(np.flatnonzero(number == w))): tier[number == w][0] for w in set(number)}
+    assert windows == {(4, 7): 2048, (5, 6): 512, (0, 1): 256, (2, 3): 256}
+    number, _, tier = T.pack_lengths(np.array([700, 700, 600, 20]), tiers)
+    assert set(number) == {0} and set(tier) == {2048}
+    lengths = np.random.default_rng(0).integers(1, 2049, 30_000)
+    number, _, tier = T.pack_lengths(lengths, tiers)
+    sizes = np.zeros(number.max() + 1)
+    sizes[number] = tier
+    assert sizes.sum() / lengths.sum() < 1.01
+    step = T.tier_steps(np.bincount(number, lengths.astype(float) ** 2), sizes, 64)
+    assert all(len(set(sizes[step == k])) == 1 for k in set(step))
+
+
 def test_steps_are_balanced():
     cost = np.random.default_rng(0).integers(1, 1000, 640).astype(float)
     step = T.balanced_steps(cost, 64)
