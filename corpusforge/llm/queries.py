@@ -50,7 +50,8 @@ def op5_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_tier_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return stages.pack(spark, read(spark, folder, "documents").select("doc_id", "text"), folder)
+    packed = stages.pack(spark, read(spark, folder, "documents").select("doc_id", "text"), folder)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def op7_toxic_neighbours(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,7 +15,6 @@ tightly as all of them. Shards are hashed, so equal or hot keys do not meet.
 from __future__ import annotations
 
 import base64
-import zlib
 from array import array
 from collections.abc import Iterator, Sequence
 from functools import cache
@@ -82,24 +81,23 @@ def word_tokens(path: str, ranks: str, pattern: str) -> WordTokens:
 
 def cut(docs: DataFrame, path: str, ranks: str, pattern: str, text: str = "text", window: int = 2048,
         end_id: int = 1) -> Column:
-    """Column of struct(doc_tokens, ids_crc32 of each piece) for a text column.
+    """Column of struct(doc_tokens, ids of each piece) for a text column.
 
-    A text's ids and the end id are cut into whole windows and a rest; a crc32
-    is of the piece's ids as little-endian unsigned 32-bit integers. A NULL text
-    counts as empty. The ids themselves stay in the task.
+    A text's ids and the end id are cut into whole windows and a rest; ids are
+    little-endian unsigned 32-bit integers. A NULL text counts as empty.
     """
     require(docs, [text])
     end = array("I", [end_id]).tobytes()
 
-    @pandas_udf("doc_tokens long, ids_crc32 array<long>")
+    @pandas_udf("doc_tokens long, ids array<binary>")
     def pieces(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own, step = word_tokens(path, ranks, pattern), 4 * window
         for batch in parts(texts):
             rows = []
             for value in batch:
                 ids = own.encode(value or "") + end
-                rows.append((len(ids) // 4, [zlib.crc32(ids[at:at + step]) for at in range(0, len(ids), step)]))
-            yield pd.DataFrame(rows, columns=["doc_tokens", "ids_crc32"])
+                rows.append((len(ids) // 4, [ids[at:at + step] for at in range(0, len(ids), step)]))
+            yield pd.DataFrame(rows, columns=["doc_tokens", "ids"])
 
     return pieces(F.col(text))
 
@@ -174,8 +172,9 @@ def pack(docs: DataFrame, path: str, ranks: str, pattern: str, id_column: str =
          per_step: int = 64) -> DataFrame:
     """One row per piece: where it comes from, which window it lies in and where.
 
-    Columns: id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and
-    tier (the window's size after padding) and step. Repeated rows are documents
+    Columns: id, start, length, ids (little-endian unsigned 32-bit integers) and
+    their ids_crc32, doc_tokens, sequence_id, offset, and tier (the window's size
+    after padding) and step, whose windows are of one tier. Repeated rows are documents
     of their own; a NULL id stays NULL; an empty table gives no rows. A shard has
     about `per_shard` rests (a group of bounded size, whatever the table's).
     """
@@ -184,12 +183,13 @@ def pack(docs: DataFrame, path: str, ranks: str, pattern: str, id_column: str =
     done = docs.select(F.col(id_column).alias("doc_id"),
                        cut(docs, path, ranks, pattern, text, window, end_id).alias("cut"))
     at = F.col("at").cast("long") * window
+    # A number of its own for each piece, the same whenever the table is read.
     pieces = written(
-        done.select("doc_id", "cut.doc_tokens", F.posexplode("cut.ids_crc32").alias("at", "ids_crc32"))
+        done.select("doc_id", "cut.doc_tokens", F.posexplode("cut.ids").alias("at", "ids"))
         .select("doc_id", at.alias("start"), F.least(F.col("doc_tokens") - at, F.lit(window)).alias("length"),
-                "ids_crc32", "doc_tokens"), "pieces")
+                "ids", "doc_tokens", F.monotonically_increasing_id().alias("piece")), "pieces", compression="zstd")
     shards = max(1, round(pieces.count() / per_shard))
-    shard = F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()), F.lit(shards))
+    shard = F.pmod(F.xxhash64("doc_id", "start", "piece"), F.lit(shards))
 
     def packed(group: pd.DataFrame) -> pd.DataFrame:
         lengths = group["length"].to_numpy()
@@ -197,9 +197,20 @@ def pack(docs: DataFrame, path: str, ranks: str, pattern: str, id_column: str =
         cost, of_window = np.bincount(number, lengths.astype(float) ** 2), np.zeros(number.max() + 1, np.int64)
         of_window[number] = tier
         base = int(group["shard"].iloc[0]) << 32
-        return group.drop(columns="shard").assign(sequence_id=base + number, offset=offset, tier=tier,
-                                                  step=base + tier_steps(cost, of_window, per_step)[number])
-
-    return pieces.withColumn("shard", shard).groupBy("shard").applyInPandas(
-        packed, "doc_id " + pieces.schema["doc_id"].dataType.simpleString() + ", start long, length long, "
-        "ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long, step long")
+        return pd.DataFrame({"piece": group["piece"], "sequence_id": base + number, "offset": offset, "tier": tier,
+                             "step": base + tier_steps(cost, of_window, per_step)[number]})
+
+    # Only lengths are dealt to shards; the ids join their places.
+    places = pieces.select("piece", "length", shard.alias("shard")).groupBy("shard").applyInPandas(
+        packed, "piece long, sequence_id long, offset long, tier long, step long")
+    return pieces.join(places, "piece").select(
+        "doc_id", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step")
+
+
+def sequences(packed: DataFrame, pad_id: int = 0) -> DataFrame:
+    """One row per window of `pack`: sequence_id, tier, step, tokens, ids, padded to the tier with `pad_id`."""
+    pad = F.lit(np.array([pad_id], "<u4").tobytes().hex())
+    own = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda x: F.hex(x["ids"])), "")
+    rows = packed.groupBy("sequence_id", "tier", "step").agg(F.sum("length").alias("tokens"), own.alias("own"))
+    return rows.select("sequence_id", "tier", "step", "tokens",
+                       F.unhex(F.concat("own", F.repeat(pad, (F.col("tier") - F.col("tokens")).cast("int")))).alias("ids"))

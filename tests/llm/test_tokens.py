@@ -147,6 +147,21 @@ def test_tiers_are_packed_one_by_one():
     assert all(len(set(sizes[step == k])) == 1 for k in set(step))
 
 
+def test_ids_are_delivered(spark):
+    df = spark.createDataFrame([(i, "some words " * n) for i, n in enumerate([0, 3, 90, 300, 1500, 5000])], "doc_id long, text string")
+    packed = T.pack(df, P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).persist()
+    whole, rows = Tokenizer.from_file(P.path("byte_bpe_50k.json")), packed.toPandas()
+    made = {r["sequence_id"]: np.frombuffer(r["ids"], "<u4") for r in T.sequences(packed, 7).collect()}
+    for i, text in map(tuple, df.collect()):
+        own = rows[rows.doc_id == i].sort_values("start")
+        want = whole.encode(text, add_special_tokens=False).ids + [1]
+        assert np.frombuffer(b"".join(own.ids), "<u4").tolist() == want
+        got = [made[s][a:a + n] for s, a, n in zip(own.sequence_id, own.offset, own.length, strict=True)]
+        assert np.concatenate(got).tolist() == want
+    for w, group in rows.groupby("sequence_id"):
+        assert made[w].size == group.tier.iloc[0] and (made[w][group.length.sum():] == 7).all()
+
+
 def test_steps_are_balanced():
     cost = np.random.default_rng(0).integers(1, 1000, 640).astype(float)
     step = T.balanced_steps(cost, 64)
