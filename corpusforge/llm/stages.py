@@ -27,8 +27,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def drop_undetermined(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Without the texts that are in no language: those without a letter."""
+    """Without the texts that are in no language: those without a letter.
+    Where no row teaches a language nothing can be told, and all texts stay."""
     profiles = language_profiles.learn_profiles(docs.filter(_taught(docs)))
+    if not profiles.languages:
+        return docs
     found = language_profiles.identify(docs, profiles)["lang_pred"]
     return docs.filter(found != language_profiles.UNDETERMINED)
 

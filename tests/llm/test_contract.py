@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from corpusforge.llm import stages
 from corpusforge.llm.queries import QUERIES
 from test_pairs import brute
 
@@ -81,3 +82,8 @@ def test_pipeline(spark, tmp_path):
         own = pieces[pieces.doc_id == i].sort_values("start")
         assert [zlib.crc32(ids[a:a + n].tobytes()) for a, n in zip(own.start, own.length, strict=True)] == own.ids_crc32.tolist()
         assert own.length.sum() == ids.size
+
+
+def test_texts_stay_where_no_language_is_taught(spark):
+    docs = spark.createDataFrame([(1, "some text", None), (3, "more text", None)], "doc_id long, text string, lang string")
+    assert stages.drop_undetermined(spark, docs, "").count() == 2
