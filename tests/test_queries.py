@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from corpusforge import workloads
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,14 +14,15 @@ def db():
     return check.tables(FOLDER)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", workloads.queries())
 def test_query_equals_sql(spark, db, name):
     verdict, _ = check.compare(spark, db, FOLDER, name)
     assert verdict.startswith("same"), verdict
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(workloads.queries()) == set(workloads.oracle_sql())
+    assert workloads.queries().keys() <= entry.queries().keys()
 
 
 def test_entry_runs(spark):
