@@ -10,6 +10,7 @@ from corpusforge.functions import rewards as R
 from corpusforge.functions import text as X
 from corpusforge.operators import profiling as P
 from corpusforge.operators import scoring as S
+from corpusforge.operators.holdout import holdout, holdout_pairs  # noqa: F401 - audits too
 
 CLIPPED_WARNING = 0.3
 SMALLEST_GROUP = 4
@@ -114,34 +115,6 @@ def preference_profile(df: DataFrame, counter: X.TokenCounter = X.token_estimate
     return P.percentiles(P.histogram(long, F.col("size"), ["part"]), {"percentile": p}, ["part"])
 
 
-def holdout_pairs(train: DataFrame, bench: DataFrame, train_id: str, item_id: str, text: str = "text", words: int = 8,
-                  share: float = 0.8) -> DataFrame:
-    """(train_id, item_id, share): training rows that contain `share` of a
-    benchmark item's word n-grams. All grams of both sides count; a gram of many
-    rows is split by adaptive execution, and only matches are gathered."""
-    def grams(df: DataFrame, key: str) -> DataFrame:
-        def of(w: Column) -> Column:
-            starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (words - 1), F.lit(1)))
-            return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(w, i, F.lit(words)), " "))))
-
-        clean = F.btrim(F.regexp_replace(F.lower(F.col(text)), r"\s+", " "))
-        # In a lambda the words are split once, not once a gram.
-        each = F.get(F.transform(F.array(F.split(clean, " ")), of), F.lit(0))
-        return df.filter(F.coalesce(clean, F.lit("")) != "").select(key, each.alias("grams"))
-
-    asked = grams(bench, item_id)
-    needed = asked.select(item_id, F.size("grams").alias("needed"), F.explode("grams").alias("gram"))
-    held = grams(train, train_id).select(train_id, F.explode("grams").alias("gram"))
-    return (held.join(needed, "gram").groupBy(train_id, item_id, "needed").agg(F.count("*").alias("shared"))
-            .filter(F.col("shared") >= F.lit(share) * F.col("needed"))
-            .select(train_id, item_id, (F.col("shared") / F.col("needed")).alias("share")))
-
-
-def holdout(train: DataFrame, pairs: DataFrame, train_id: str) -> DataFrame:
-    """The training rows without those in `pairs`."""
-    return train.join(pairs.select(train_id).distinct(), train_id, "left_anti")
-
-
 def pack_segments(df: DataFrame, key: str, tokens: Column, max_length: int, shards: int = 64, seed: int = 42) -> DataFrame:
     """Documents joined end to end and cut every `max_length` tokens.
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusforge.functions import text as X
 from corpusforge.operators import audits as A
 from corpusforge.operators import evaluation as E
+from corpusforge.operators import holdout as H
 from corpusforge.operators import mixing as M
 from corpusforge.operators import scoring as S
 from corpusforge.session import shared_folder
@@ -157,6 +158,24 @@ def holdout(spark: SparkSession, folder: str) -> DataFrame:
     return A.holdout(docs, _contained(spark, folder), "doc_id").select("doc_id", "source")
 
 
+def _chinese(spark: SparkSession, folder: str, table: str, key: str) -> DataFrame:
+    df = D.read(spark, folder, table)
+    return df.select(key, D.chinese(F.col("text")).alias("text"))
+
+
+def holdout_chinese(spark: SparkSession, folder: str) -> DataFrame:
+    """Chinese passages inside longer texts, between words of other scripts."""
+    found = H.holdout_pairs(_chinese(spark, folder, "documents", "doc_id"), _chinese(spark, folder, "benchmark", "item_id"), "doc_id", "item_id")
+    return found.withColumn("share", F.round("share", 9))
+
+
+def holdout_equal(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents whose whole text another document has."""
+    docs = _chinese(spark, folder, "documents", "doc_id")
+    items = docs.withColumnRenamed("doc_id", "item_id")
+    return H.equal_pairs(docs, items, "doc_id", "item_id").filter("doc_id <> item_id")
+
+
 def pack_segments(spark: SparkSession, folder: str) -> DataFrame:
     docs = D.read(spark, folder, "documents")
     return A.pack_segments(docs, "doc_id", X.token_estimate("text"), 1024, shards=16)
@@ -186,7 +205,7 @@ def metric_windows_stream(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     predictions_parsed, accuracy_by_benchmark, repeat_stats, compare_runs, options_shuffled, position_bias, method_compare,
     audit_script, filter_script, audit_english, zero_signal_groups, clipped_ratio, cap_advice, weight_balance, mix_shares,
-    replay_check, preference_profile, holdout_pairs, holdout, pack_segments, metric_windows, metric_windows_stream)}
+    replay_check, preference_profile, holdout_pairs, holdout, holdout_chinese, holdout_equal, pack_segments, metric_windows, metric_windows_stream)}
 
 _L = D._sql_letter("p_partkey * 7 + p_size")
 _ANSWERS = ("answers AS (SELECT p_partkey AS item, p_brand AS benchmark, p_partkey % 3 AS run, "
@@ -209,6 +228,28 @@ _HELD = (f"d AS (SELECT doc_id, source, unnest({_GRAMS}) AS g FROM (SELECT doc_i
          f"b AS (SELECT item_id, len(gs) AS needed, unnest(gs) AS g FROM (SELECT item_id, {_GRAMS} AS gs FROM (SELECT item_id, {_WORDS} AS w FROM benchmark))), "
          "h AS (SELECT doc_id, item_id, count(*)::double / any_value(needed) AS share FROM d JOIN b USING (g) GROUP BY doc_id, item_id "
          "HAVING count(*) >= 0.8 * any_value(needed))")
+_MARKS = r"[^\p{L}\p{N} ]+"
+
+
+def _sql_units(text: str) -> str:
+    """The units of a text, as a list."""
+    u = f"[{H.UNSPACED}]"
+    e = f"trim(regexp_replace(lower({text}), '\\s+', ' ', 'g'))"
+    e = f"regexp_replace({e}, '({u}){_MARKS}', '\\1 ', 'g')"
+    e = f"regexp_replace({e}, '{_MARKS}({u})', ' \\1', 'g')"
+    return f"string_split(trim(regexp_replace(regexp_replace({e}, '({u})', ' \\1 ', 'g'), ' +', ' ', 'g')), ' ')"
+
+
+def _sql_grams(table: str, key: str) -> str:
+    """(key, r, g): the grams of each row r."""
+    weight = f"CASE WHEN regexp_full_match(u, '[{H.UNSPACED}]') THEN 8 ELSE 13 END"
+    return (f"(SELECT DISTINCT {key}, r, CASE WHEN total < 104 THEN array_to_string(us, ' ') ELSE array_to_string(us[1:list_filter(range(1, 14), "
+            f"lambda k: k <= len(ws) AND list_sum(ws[1:k]) >= 104)[1]], ' ') END AS g FROM (SELECT {key}, r, i, list(u) OVER f AS us, list(w) OVER f AS ws, "
+            f"sum(w) OVER (PARTITION BY r) AS total FROM (SELECT *, {weight} AS w FROM (SELECT {key}, row_number() OVER () AS r, generate_subscripts(u, 1) AS i, unnest(u) AS u "
+            f"FROM (SELECT {key}, {_sql_units(D._ZH)} AS u FROM {table}))) WINDOW f AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)) "
+            "WHERE total >= 104 OR i = 1)")
+
+
 _DRAWN = ("list_sort([{" + "}, {".join(f"'absent': {o} IS NULL, 'o': md5('42|1|' || p_partkey || '|{o}'), 'l': '{o}', 't': {o}" for o in "ABCD") + "}])")
 _DAY = ("SELECT event_type AS run_id, (epoch(time_bucket(INTERVAL 1 DAY, ts)))::bigint AS start, count(*) AS rows, round(avg(value), 6) AS mean, "
         "min(value) AS lowest, max(value) AS highest, CASE WHEN min(value) > 0.3 THEN 'persistently high' WHEN max(value) = 0 THEN 'flat at zero' "
@@ -259,6 +300,11 @@ SQL = {
                           "min(v) FILTER (i = least(n - 1, floor(n * 0.99::double)))::bigint AS percentile, max(v)::bigint AS max FROM n GROUP BY part",
     "holdout_pairs": f"WITH {_HELD} SELECT doc_id, item_id, round(share, 9) AS share FROM h",
     "holdout": f"WITH {_HELD} SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM h)",
+    "holdout_chinese": f"WITH d AS (SELECT * FROM {_sql_grams('documents', 'doc_id')} WHERE g IS NOT NULL), b AS (SELECT *, count(*) OVER (PARTITION BY r) AS needed "
+                       f"FROM {_sql_grams('benchmark', 'item_id')} WHERE g IS NOT NULL) SELECT doc_id, item_id, round(count(*)::double / any_value(needed), 9) AS share "
+                       "FROM d JOIN b USING (g) GROUP BY doc_id, d.r, item_id, b.r HAVING count(*) >= 0.8 * any_value(needed)",
+    "holdout_equal": f"WITH t AS (SELECT doc_id, array_to_string({_sql_units(D._ZH)}, ' ') AS t FROM documents) SELECT a.doc_id, b.doc_id AS item_id FROM t a JOIN t b USING (t) "
+                     "WHERE a.doc_id <> b.doc_id",
     "pack_segments": f"WITH t AS (SELECT doc_id, {Q.sql_tokens('text')}::bigint AS n, md5('42|' || doc_id) AS o FROM documents), "
                      "s AS (SELECT *, ('0x' || o[1:8])::bigint % 16 AS shard FROM t WHERE n > 0), f AS (SELECT *, (sum(n) OVER (PARTITION BY shard ORDER BY o, doc_id) - n)::bigint AS first FROM s), "
                      "c AS (SELECT *, unnest(range(first // 1024, (first + n - 1) // 1024 + 1)) AS pack FROM f) SELECT shard, pack, doc_id, "
