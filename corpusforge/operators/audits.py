@@ -11,6 +11,7 @@ from corpusforge.functions import text as X
 from corpusforge.operators import profiling as P
 from corpusforge.operators import scoring as S
 from corpusforge.operators.holdout import holdout, holdout_pairs  # noqa: F401 - audits too
+from corpusforge.operators.segments import pack_segments  # noqa: F401
 
 CLIPPED_WARNING = 0.3
 SMALLEST_GROUP = 4
@@ -113,23 +114,3 @@ def preference_profile(df: DataFrame, counter: X.TokenCounter = X.token_estimate
                     F.struct(F.lit("prompt and longer answer").alias("part"), (F.col("prompt") + F.greatest("chosen", "rejected")).alias("size")))
     long = sizes.select(F.inline(parts))
     return P.percentiles(P.histogram(long, F.col("size"), ["part"]), {"percentile": p}, ["part"])
-
-
-def pack_segments(df: DataFrame, key: str, tokens: Column, max_length: int, shards: int = 64, seed: int = 42) -> DataFrame:
-    """Documents joined end to end and cut every `max_length` tokens.
-
-    (shard, pack, key, start, end): a document that crosses a cut has several
-    segments; positions count from the document's first token. The order within
-    a shard is by hash of the key. A shard is one sorted run, so choose `shards`
-    with the table: some hundred thousand documents each. Empty rows are left out.
-    """
-    order = F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
-    shard = F.pmod(F.conv(F.substring(order, 1, 8), 16, 10).cast("long"), F.lit(shards))
-    rows = df.select(key, tokens.cast("long").alias("n"), order.alias("o"), shard.alias("shard")).filter("n > 0")
-    upto = F.sum("n").over(Window.partitionBy("shard").orderBy("o", key).rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("first", upto - F.col("n"))
-    packs = F.sequence(F.floor(F.col("first") / max_length), F.floor((F.col("first") + F.col("n") - 1) / max_length))
-    cut = rows.withColumn("pack", F.explode(packs))
-    start = F.greatest(F.col("pack") * max_length - F.col("first"), F.lit(0))
-    end = F.least((F.col("pack") + 1) * max_length - F.col("first"), F.col("n"))
-    return cut.select("shard", "pack", key, start.alias("start"), end.alias("end"))

@@ -9,6 +9,7 @@ step is ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -19,17 +20,92 @@ from corpusforge.functions import values as V
 
 ALERT_TYPE = "run_id string, alert_step long, streak long"
 STATE_TYPE = "streak long, fired boolean, last_step long"
+SUMMARY_TYPE = ("run_id string, block long, first long, last long, lead long, tail long, broken boolean, early array<long>, "
+                "later long, logged binary, hits binary")
 STEPS_PER_BLOCK = 4096
 
 
-def guard_stream(log: DataFrame, patience: int = V.GUARD_PATIENCE, idle: str | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Summary:
+    """Some steps of a run in order, as far as a guard has to know them.
+
+    lead, tail: hits before the first and after the last miss; broken: there is a
+    miss; early: steps of the first hits, at most `patience`; later: where a
+    streak after the first miss is long enough.
+    """
+
+    first: int
+    last: int
+    lead: int
+    tail: int
+    broken: bool
+    early: list[int]
+    later: int | None
+
+    @staticmethod
+    def of(steps: np.ndarray, hits: np.ndarray, patience: int) -> Summary:
+        misses = np.flatnonzero(~hits)
+        lead, tail = (misses[0], hits.size - 1 - misses[-1]) if misses.size else (hits.size, hits.size)
+        reached = np.flatnonzero(_streaks(hits) == patience)
+        reached = reached[reached > lead]
+        return Summary(int(steps[0]), int(steps[-1]), int(lead), int(tail), bool(misses.size), steps[:min(lead, patience)].tolist(),
+                       int(steps[reached[0]]) if reached.size else None)
+
+    def after(self, streak: int, patience: int) -> tuple[int, int | None]:
+        """The streak that these steps leave behind, and where they raise an alert."""
+        missing = patience - streak
+        alert = self.early[missing - 1] if missing <= self.lead else self.later
+        return (self.tail if self.broken else streak + self.lead), alert
+
+
+def _streaks(hits: np.ndarray) -> np.ndarray:
+    """Length of the running streak of hits at each position."""
+    position = np.arange(1, len(hits) + 1)
+    return position - np.maximum.accumulate(np.where(hits, 0, position))
+
+
+def summaries(rows: DataFrame, patience: int, steps_per_block: int) -> DataFrame:
+    """One summary for each run and block of steps, for tables and micro-batches.
+
+    Beside it stand the block's steps and hits as bits from its first step on,
+    for the one block that can hold steps seen before. A step logged twice is a
+    hit only if both values are.
+    """
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        runs: dict[str, int] = {}
+        parts = [(np.fromiter((runs.setdefault(r, len(runs)) for r in b["run_id"]), np.int64, len(b)), b["step"].to_numpy(np.int64), b["hit"].to_numpy(bool))
+                 for b in batches]
+        if not runs:
+            return
+        run, step, hit = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((hit, step, run))
+        run, step, hit = run[order], step[order], hit[order]
+        once = np.append(True, (run[1:] != run[:-1]) | (step[1:] != step[:-1]))
+        run, step, hit = run[once], step[once], hit[once]
+        block = step // steps_per_block
+        cuts = np.flatnonzero((run[1:] != run[:-1]) | (block[1:] != block[:-1])) + 1
+        names, out = list(runs), []
+        for at, upto in zip([0, *cuts], [*cuts, run.size], strict=True):
+            own, hits = step[at:upto], hit[at:upto]
+            bits = np.zeros((2, own[-1] - own[0] + 1), bool)
+            bits[0, own - own[0]], bits[1, own - own[0]] = True, hits
+            s = Summary.of(own, hits, patience)
+            out.append((names[run[at]], int(block[at]), s.first, s.last, s.lead, s.tail, s.broken, s.early, s.later, *(np.packbits(b).tobytes() for b in bits)))
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in SUMMARY_TYPE.split(", ")]).astype({"later": "Int64"})
+
+    block = F.floor(F.col("step") / steps_per_block)
+    return rows.withColumn("block", block).repartition("run_id", "block").select("run_id", "step", "hit").mapInPandas(reduce, SUMMARY_TYPE)
+
+
+def guard_stream(log: DataFrame, patience: int = V.GUARD_PATIENCE, idle: str | None = None,
+                 steps_per_block: int = STEPS_PER_BLOCK) -> DataFrame:
     """Alerts of a metric stream, with one small state per run.
 
-    Within a batch steps are put in order; a step at or before the last one
-    seen is late and dropped. Limit the batch at the source (for example
-    maxFilesPerTrigger): the steps of one run in one batch are sorted together.
-    With `idle` (say "7 days"), a run of which nothing came for so long is
-    forgotten; a query with such a clock does not end by itself.
+    Within a micro-batch steps are put in order block by block, in as many tasks
+    as there are blocks; what meets a run's state are summaries of blocks, so a
+    run may hold most of a batch. A step at or before the last one seen is late
+    and dropped. With `idle` (say "7 days"), a run of which nothing came for so
+    long is forgotten; a query with such a clock does not end by itself.
     """
     def watch(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -38,40 +114,40 @@ def guard_stream(log: DataFrame, patience: int = V.GUARD_PATIENCE, idle: str | N
         if idle:
             state.setTimeoutDuration(idle_ms)
         streak, fired, last = state.get if state.exists else (0, False, None)
-        parts = [(c["step"].to_numpy(), c["hit"].to_numpy()) for c in chunks]
         if fired:
+            for _ in chunks:
+                pass
             state.update((streak, fired, last))
             return
-        steps = np.concatenate([s for s, _ in parts])
-        hits = np.concatenate([h for _, h in parts]).astype(bool)
-        # In step order; a step logged twice is a hit only if both values are.
-        order = np.lexsort((hits, steps))
-        steps, first = np.unique(steps[order], return_index=True)
-        hits = hits[order][first]
+        alert = None
+        for row in pd.concat(list(chunks)).sort_values("block").itertuples():
+            known = _unseen(row, last, patience)
+            if known is None or alert is not None:
+                continue
+            streak, alert = known.after(streak, patience)
+            last = known.last
+        if alert is not None:
+            yield pd.DataFrame({"run_id": [key[0]], "alert_step": [alert], "streak": [patience]})
         if last is not None:
-            hits, steps = hits[steps > last], steps[steps > last]
-        if not len(steps):
-            return
-        streaks = _streaks(hits, streak)
-        reached = np.flatnonzero(streaks >= patience)
-        if len(reached):
-            at = reached[0]
-            yield pd.DataFrame({"run_id": [key[0]], "alert_step": [int(steps[at])],
-                                "streak": [int(streaks[at])]})
-        state.update((int(streaks[-1]), bool(len(reached)), int(steps[-1])))
-
-    rows = _hits(log)
+            state.update((streak, alert is not None, last))
+
+    rows = summaries(_hits(log), patience, steps_per_block)
     idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000) if idle else 0
     return rows.groupBy("run_id").applyInPandasWithState(
         watch, ALERT_TYPE, STATE_TYPE, "append",
         GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout)
 
 
-def _streaks(hits: np.ndarray, before: int) -> np.ndarray:
-    """Length of the running streak of hits at each position."""
-    position = np.arange(1, len(hits) + 1)
-    last_miss = np.maximum.accumulate(np.where(hits, 0, position))
-    return position - last_miss + np.where(last_miss == 0, before, 0)
+def _unseen(row, last: int | None, patience: int) -> Summary | None:
+    """What a summary says of steps after `last`; None if it has none."""
+    if last is None or row.first > last:
+        return Summary(row.first, row.last, row.lead, row.tail, row.broken, list(row.early), None if pd.isna(row.later) else int(row.later))
+    if row.last <= last:
+        return None
+    logged, hits = (np.unpackbits(np.frombuffer(b, np.uint8), count=row.last - row.first + 1).astype(bool) for b in (row.logged, row.hits))
+    at = np.flatnonzero(logged)
+    at = at[at + row.first > last]
+    return Summary.of(at + row.first, hits[at], patience)
 
 
 def _hits(log: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from corpusforge.operators import evaluation as E
 from corpusforge.operators import holdout as H
 from corpusforge.operators import mixing as M
 from corpusforge.operators import scoring as S
+from corpusforge.operators import segments as G
 from corpusforge.session import shared_folder
 from corpusforge.streaming import monitor as W
 from corpusforge.workloads import mixing as WM
@@ -181,6 +182,12 @@ def pack_segments(spark: SparkSession, folder: str) -> DataFrame:
     return A.pack_segments(docs, "doc_id", X.token_estimate("text"), 1024, shards=16)
 
 
+def pack_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """All texts as one sequence, worked out in many blocks; every text comes twice, as in a mix with copies."""
+    docs = D.read(spark, folder, "documents").select("doc_id", "text")
+    return G.pack_segments(docs.unionAll(docs), "doc_id", X.token_estimate("text"), 2048, blocks=64).drop("shard")
+
+
 def _metric(events: DataFrame) -> DataFrame:
     return events.select(F.col("event_type").alias("run_id"), "ts", "value")
 
@@ -202,10 +209,42 @@ def metric_windows_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _symptoms(spark.read.schema(windows.schema).parquet(out))
 
 
+def _metrics(events: DataFrame) -> DataFrame:
+    """events as a training log of five runs with several metrics."""
+    kind, value = F.col("event_type"), F.col("value")
+    metric = (F.when(kind == "view", "loss").when(kind == "click", "completions/clipped_ratio").when(kind == "signup", "mean_token_accuracy").otherwise(kind))
+    scaled = F.when(kind == "click", value / 70).when(kind == "signup", 1 - value / 300).otherwise(value)
+    return events.select((F.col("user_id") % 5).cast("string").alias("run_id"), metric.alias("metric"), "ts", scaled.alias("value"))
+
+
+def _trends(df: DataFrame) -> DataFrame:
+    return df.select("run_id", "metric", F.unix_seconds("start").alias("start"), "rows", "broken", *[F.round(c, 9).alias(c) for c in ("mean", "lowest", "highest")],
+                     "symptom", "lasted", F.col("persistent").cast("long").alias("persistent"))
+
+
+def metric_trends(spark: SparkSession, folder: str) -> DataFrame:
+    return _trends(W.metric_trends_batch(_metrics(D.read(spark, folder, "events")), "12 hours", 2))
+
+
+def metric_trends_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Two streams in a row: windows that the watermark has passed, and their trends."""
+    def run(df: DataFrame, purpose: str) -> str:
+        out = shared_folder(spark, purpose)
+        (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", shared_folder(spark, f"{purpose}-checkpoint"))
+         .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+        return out
+
+    measures = W.metric_measures(_metrics(stream(spark, folder, "events")), "12 hours")
+    windows = spark.readStream.schema(measures.schema).parquet(run(measures, "measures"))
+    found = W.metric_trends(windows, persistent=2)
+    return _trends(spark.read.schema(found.schema).parquet(run(found, "trends")))
+
+
 QUERIES = {f.__name__: f for f in (
     predictions_parsed, accuracy_by_benchmark, repeat_stats, compare_runs, options_shuffled, position_bias, method_compare,
     audit_script, filter_script, audit_english, zero_signal_groups, clipped_ratio, cap_advice, weight_balance, mix_shares,
-    replay_check, preference_profile, holdout_pairs, holdout, holdout_chinese, holdout_equal, pack_segments, metric_windows, metric_windows_stream)}
+    replay_check, preference_profile, holdout_pairs, holdout, holdout_chinese, holdout_equal, pack_segments, pack_whole, metric_windows, metric_windows_stream, metric_trends,
+    metric_trends_stream)}
 
 _L = D._sql_letter("p_partkey * 7 + p_size")
 _ANSWERS = ("answers AS (SELECT p_partkey AS item, p_brand AS benchmark, p_partkey % 3 AS run, "
@@ -254,6 +293,21 @@ _DRAWN = ("list_sort([{" + "}, {".join(f"'absent': {o} IS NULL, 'o': md5('42|1|'
 _DAY = ("SELECT event_type AS run_id, (epoch(time_bucket(INTERVAL 1 DAY, ts)))::bigint AS start, count(*) AS rows, round(avg(value), 6) AS mean, "
         "min(value) AS lowest, max(value) AS highest, CASE WHEN min(value) > 0.3 THEN 'persistently high' WHEN max(value) = 0 THEN 'flat at zero' "
         "WHEN max(value) > 3 * avg(value) THEN 'spike' ELSE 'none' END AS symptom FROM events WHERE value IS NOT NULL GROUP BY 1, 2")
+_TRENDS = ("e AS (SELECT (user_id % 5)::varchar AS run_id, CASE event_type WHEN 'view' THEN 'loss' WHEN 'click' THEN 'completions/clipped_ratio' "
+           "WHEN 'signup' THEN 'mean_token_accuracy' ELSE event_type END AS metric, ts, CASE event_type WHEN 'click' THEN value / 70 "
+           "WHEN 'signup' THEN 1 - value / 300 ELSE value END AS value FROM events WHERE value IS NOT NULL), "
+           "w AS (SELECT run_id, metric, (floor(epoch(ts) / 43200) * 43200)::bigint AS start, count(*) AS rows, count(*) FILTER (NOT isfinite(value)) AS broken, "
+           "avg(value) FILTER (isfinite(value)) AS mean, min(value) FILTER (isfinite(value)) AS lowest, max(value) FILTER (isfinite(value)) AS highest FROM e GROUP BY ALL), "
+           "f AS (SELECT *, lag(start) OVER o = start - 43200 AS follows, lag(mean) OVER o AS mean_before FROM w WINDOW o AS (PARTITION BY run_id, metric ORDER BY start)), "
+           "s AS (SELECT *, CASE WHEN metric NOT IN ('loss', 'completions/clipped_ratio', 'mean_token_accuracy') THEN 'none' WHEN broken > 0 THEN 'not a number' "
+           "WHEN metric = 'completions/clipped_ratio' AND mean > 0.3 THEN 'answers cut off' WHEN metric = 'mean_token_accuracy' AND mean > 0.95 THEN 'memorizing' "
+           "WHEN metric = 'loss' AND highest < 0.01 THEN 'near zero' WHEN metric = 'loss' AND (highest > 3 * mean OR (follows AND mean > 3 * mean_before)) THEN 'spike' "
+           "WHEN metric = 'loss' AND rows > 1 AND lowest = highest THEN 'flat' ELSE 'none' END AS symptom FROM f), "
+           "i AS (SELECT *, sum(CASE WHEN follows AND symptom_before = symptom THEN 0 ELSE 1 END) OVER (PARTITION BY run_id, metric ORDER BY start) AS island "
+           "FROM (SELECT *, lag(symptom) OVER (PARTITION BY run_id, metric ORDER BY start) AS symptom_before FROM s)), "
+           "t AS (SELECT run_id, metric, start, rows, broken, round(mean, 9) AS mean, round(lowest, 9) AS lowest, round(highest, 9) AS highest, symptom, "
+           "row_number() OVER (PARTITION BY run_id, metric, island ORDER BY start) AS lasted FROM i) "
+           "SELECT *, (symptom <> 'none' AND lasted >= 2)::bigint AS persistent FROM t")
 SQL = {
     "predictions_parsed": f"WITH {_ANSWERS} SELECT item, coalesce(box, '-') AS box, coalesce(box, said, '-') AS pattern, coalesce(said, '-') AS regex FROM reads",
     "accuracy_by_benchmark": f"WITH {_ANSWERS} SELECT benchmark, count(*) AS items, sum(hit)::bigint AS correct, count(*) FILTER (prediction IS NULL) AS unparsed, "
@@ -309,6 +363,12 @@ SQL = {
                      "s AS (SELECT *, ('0x' || o[1:8])::bigint % 16 AS shard FROM t WHERE n > 0), f AS (SELECT *, (sum(n) OVER (PARTITION BY shard ORDER BY o, doc_id) - n)::bigint AS first FROM s), "
                      "c AS (SELECT *, unnest(range(first // 1024, (first + n - 1) // 1024 + 1)) AS pack FROM f) SELECT shard, pack, doc_id, "
                      "greatest(pack * 1024 - first, 0) AS start, least((pack + 1) * 1024 - first, n) AS \"end\" FROM c",
+    "pack_whole": f"WITH d AS (SELECT doc_id, {Q.sql_tokens('text')}::bigint AS n, md5('42|' || doc_id) AS o FROM documents), t AS (SELECT * FROM d WHERE n > 0 UNION ALL "
+                  "SELECT * FROM d WHERE n > 0), f AS (SELECT *, (sum(n) OVER (ORDER BY o, doc_id, n ROWS UNBOUNDED PRECEDING) - n)::bigint AS first FROM t), "
+                  "c AS (SELECT *, unnest(range(first // 2048, (first + n - 1) // 2048 + 1)) AS pack FROM f) SELECT pack, doc_id, "
+                  "greatest(pack * 2048 - first, 0) AS start, least((pack + 1) * 2048 - first, n) AS \"end\" FROM c",
     "metric_windows": _DAY,
+    "metric_trends": f"WITH {_TRENDS}",
+    "metric_trends_stream": f"SELECT * FROM (WITH {_TRENDS}) WHERE start + 43200 <= (SELECT epoch(max(ts)) - 600 FROM events WHERE value IS NOT NULL)",
     "metric_windows_stream": f"SELECT * FROM ({_DAY}) WHERE start + 86400 <= (SELECT epoch(max(ts)) - 600 FROM events WHERE value IS NOT NULL)",
 }

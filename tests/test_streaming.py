@@ -1,4 +1,5 @@
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -6,6 +7,7 @@ from hypothesis import given, settings, strategies as st
 from corpusforge.functions import rewards as R
 from corpusforge.operators import scoring as S
 from corpusforge.streaming import guard as G
+from corpusforge.streaming import monitor as T
 from corpusforge.streaming.scoring import score_stream
 
 LOG = "run_id string, step long, ratio double"
@@ -111,3 +113,110 @@ def test_stream_scores_equal_batch_scores(spark, tmp_path):
 def test_short_patience(spark, patience):
     rows = [("a", 1, 0.5), ("a", 2, 1.0), ("a", 3, 1.0)]
     assert batch(spark, rows, patience=patience) == {"a": 1 + patience}
+
+
+def in_order(batches, patience):
+    """One pass over micro-batches: steps in order, what is not after the last one is late."""
+    state, alerts = {}, []
+    for rows in batches:
+        merged = {}
+        for run, step, ratio in rows:
+            if ratio is not None:
+                merged[run, step] = min(merged.get((run, step), 2.0), ratio)
+        for (run, step), ratio in sorted(merged.items()):
+            streak, fired, last = state.get(run, (0, False, None))
+            if last is not None and step <= last:
+                continue
+            streak = streak + 1 if ratio >= 0.999 else 0
+            if streak == patience and not fired:
+                alerts.append((run, step, patience))
+                fired = True
+            state[run] = (streak, fired, step)
+    return sorted(alerts)
+
+
+@pytest.mark.parametrize("patience, block, seed", [(1, 4, 0), (3, 4, 1), (5, 3, 2), (4, 1, 3), (6, 4096, 4)])
+def test_stream_merges_summaries_and_drops_late_steps(spark, tmp_path, patience, block, seed):
+    rng = random.Random(seed)
+    # Steps overlap between micro-batches, so that many are late, some in the midst of a block.
+    batches = [[(rng.choice("abc"), rng.randrange(40 * i, 40 * i + 70), rng.choice([1.0, 1.0, 1.0, 0.2, None])) for _ in range(120)] for i in range(3)]
+    log, out = tmp_path / "log", tmp_path / "alerts"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, LOG).coalesce(1).write.parquet(str(log / f"part{i}"))
+        query = (G.guard_stream(spark.readStream.schema(LOG).parquet(str(log / "part*")), patience, steps_per_block=block)
+                 .writeStream.format("parquet").option("path", str(out)).option("checkpointLocation", str(tmp_path / "check"))
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+    assert sorted(tuple(r) for r in spark.read.schema(G.ALERT_TYPE).parquet(str(out)).collect()) == in_order(batches, patience)
+
+
+def test_a_long_run_reaches_its_state_as_few_summaries(spark):
+    rng = random.Random(9)
+    rows = [("hot", s, rng.random() < 0.8) for s in range(30_000)] + [("cold", s, True) for s in range(5)]
+    df = spark.createDataFrame(rows, "run_id string, step long, hit boolean").repartition(5)
+    found = G.summaries(df, 3, 1000).collect()
+    assert len(found) == 31 and all(len(r["early"]) <= 3 and len(r["hits"]) <= 125 for r in found)
+    assert {r["block"] for r in found if r["run_id"] == "hot"} == set(range(30))
+
+
+# Trends
+
+TRENDS = "run_id string, metric string, ts timestamp, value double"
+HOUR = datetime(2024, 1, 1)
+
+
+def trend_rows():
+    def at(hours, minutes=0):
+        return HOUR + timedelta(hours=hours, minutes=minutes)
+
+    nan = float("nan")
+    clipped = [("a", "completions/clipped_ratio", at(h, m), v) for h, v in enumerate((0.1, 0.4, 0.5, 0.9, 0.2, 0.5)) for m in (1, 30)]
+    clipped += [("a", "completions/clipped_ratio", at(h), 0.9) for h in (8, 9)]  # two hours without a row before
+    loss = [("a", "loss", at(h, m), v) for h, v in enumerate((2.0, 1.5, 9.0, 8.5, 0.001, 0.002)) for m in (5, 6)]
+    loss += [("b", "loss", at(0), 1.0), ("b", "loss", at(0, 9), 1.1), ("b", "loss", at(1), nan), ("b", "loss", at(2), 3.0), ("b", "loss", at(2, 1), 3.0),
+             ("b", "loss", at(3), 1.0), ("b", "loss", at(3, 1), 1.0), ("b", "loss", at(3, 2), 1.0), ("b", "loss", at(3, 3), 30.0), ("b", "loss", at(4), None)]
+    accuracy = [("b", "mean_token_accuracy", at(h), v) for h, v in enumerate((0.5, 0.96, 0.97, 0.99, 0.3))]
+    return clipped + loss + accuracy + [("b", "other", at(0), 1e9)]
+
+
+WANTED = {
+    ("a", "completions/clipped_ratio"): [(0, "none", 1, False), (1, "answers cut off", 1, False), (2, "answers cut off", 2, True), (3, "answers cut off", 3, True),
+                                         (4, "none", 1, False), (5, "answers cut off", 1, False), (8, "answers cut off", 1, False), (9, "answers cut off", 2, True)],
+    ("a", "loss"): [(0, "flat", 1, False), (1, "flat", 2, True), (2, "spike", 1, False), (3, "flat", 1, False), (4, "near zero", 1, False), (5, "near zero", 2, True)],
+    ("b", "loss"): [(0, "none", 1, False), (1, "not a number", 1, False), (2, "flat", 1, False), (3, "spike", 1, False)],
+    ("b", "mean_token_accuracy"): [(0, "none", 1, False), (1, "memorizing", 1, False), (2, "memorizing", 2, True), (3, "memorizing", 3, True), (4, "none", 1, False)],
+    ("b", "other"): [(0, "none", 1, False)],
+}
+
+
+def by_metric(rows):
+    out = {}
+    for r in sorted(rows, key=lambda r: r["start"]):
+        out.setdefault((r["run_id"], r["metric"]), []).append((int((r["start"] - HOUR).total_seconds() // 3600), r["symptom"], r["lasted"], r["persistent"]))
+    return out
+
+
+def test_every_rule_of_the_trends(spark):
+    df = spark.createDataFrame(trend_rows(), TRENDS)
+    assert by_metric(T.metric_trends_batch(df, persistent=2).collect()) == WANTED
+    assert T.metric_trends_batch(df.limit(0)).collect() == []
+    own = {"other": (("huge", lambda w: w["mean"] > 5),)}
+    assert {r["symptom"] for r in T.metric_trends_batch(df, rules=own).collect()} == {"huge", "none"}
+
+
+def test_trends_carry_over_micro_batches(spark, tmp_path):
+    rows = trend_rows()
+    log, out = tmp_path / "log", tmp_path / "out"
+    last = HOUR + timedelta(hours=40)
+    parts = [[r for r in rows if r[2] < HOUR + timedelta(hours=2, minutes=20)], [r for r in rows if r[2] >= HOUR + timedelta(hours=2, minutes=20)],
+             [("z", "other", last, 0.0)]]
+    def run(df, to):
+        (df.writeStream.format("parquet").option("path", str(tmp_path / to)).option("checkpointLocation", str(tmp_path / f"{to}-check"))
+         .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, TRENDS).coalesce(1).write.parquet(str(log / f"part{i}"))
+        measures = T.metric_measures(spark.readStream.schema(TRENDS).parquet(str(log / "part*")), late="30 minutes")
+        run(measures, "windows")
+        run(T.metric_trends(spark.readStream.schema(measures.schema).parquet(str(tmp_path / "windows")), persistent=2), "out")
+    assert by_metric(spark.read.schema(T.TREND_TYPE).parquet(str(out)).collect()) == WANTED
