@@ -16,24 +16,25 @@ sums are integers: all is exact.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from corpusforge.llm.common import parts, require, written
+from corpusforge.llm.common import require, written
 
-#: Letters, and all beyond ASCII.
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-LOWER = str.maketrans({c: c + 32 for c in range(ord("A"), ord("Z") + 1)})
+#: Of the bytes of a text in UTF-8: A to Z in lower case, all else below 0x80
+#: that is no letter as a space. Terms are letters and all beyond ASCII.
+BYTES = bytes(c + 32 if chr(c) in ascii_uppercase else c if c > 127 or chr(c) in ascii_lowercase else 32 for c in range(256))
 SCALE, SMOOTH = 1_000_000_000, 5
 #: Terms of a block, groups of a panel, indicator columns multiplied at once.
 TERMS, GROUPS, COLUMNS = 512, 64, 2048
-#: Terms that a task counts before it hands the counts on.
-COUNTED = 400_000
+#: Terms that a task counts before it hands the counts on, and rows handed on at once.
+COUNTED, HANDED = 250_000, 50_000
 
 
 def price(count: int, total: int, terms: int) -> int:
@@ -48,33 +49,40 @@ def priced(count: Column, total: Column, terms: Column) -> Column:
     return F.lit(1) + F.call_function("div", share, below)
 
 
+def terms_of(text: bytes) -> list[bytes]:
+    return text.translate(BYTES).split()
+
+
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, count, docs) of (lang, source, text), a row each."""
 
-    def frame(counts: dict) -> pd.DataFrame:
-        rows = [(lang, source, t, n, d) for (lang, source), terms in counts.items() for t, (n, d) in terms.items()]
-        return pd.DataFrame(rows, columns=["lang", "source", "term", "count", "docs"])
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: dict[tuple, dict] = {}
+    def batches_of(counts: dict) -> Iterator[pa.RecordBatch]:
+        for (lang, source), (number, documents) in counts.items():
+            terms = list(number)
+            for at in range(0, len(terms), HANDED):
+                own = terms[at:at + HANDED]
+                columns = [pa.repeat(lang, len(own)), pa.repeat(source, len(own)), pa.array(own, pa.binary()).cast(pa.string()),
+                           pa.array([number[t] for t in own], pa.int64()), pa.array([documents[t] for t in own], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "count", "docs"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple, tuple[Counter, Counter]] = {}
         held = 0
-        for batch in parts(batches):
-            for lang, source, text in zip(batch["lang"], batch["source"], batch["text"], strict=True):
-                own = counts.setdefault((lang, source), {})
-                before = len(own)
-                for t, n in Counter(TERM.findall(text.translate(LOWER))).items():
-                    if t in own:
-                        own[t][0] += n
-                        own[t][1] += 1
-                    else:
-                        own[t] = [n, 1]
-                held += len(own) - before
+        for batch in batches:
+            for lang, source, text in zip(batch["lang"].to_pylist(), batch["source"].to_pylist(), batch["text"], strict=True):
+                number, documents = counts.setdefault((lang, source), (Counter(), Counter()))
+                terms = terms_of(text.as_buffer().to_pybytes())
+                before = len(number)
+                number.update(terms)
+                documents.update(set(terms))
+                held += len(number) - before
                 if held >= COUNTED:
-                    yield frame(counts)
+                    yield from batches_of(counts)
                     counts, held = {}, 0
-        yield frame(counts)
+        yield from batches_of(counts)
 
-    found = docs.select("lang", "source", "text").mapInPandas(count, "lang string, source string, term string, count long, docs long")
+    found = docs.select("lang", "source", F.col("text").cast("binary").alias("text")).mapInArrow(
+        count, "lang string, source string, term string, count long, docs long")
     return found.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
 
 
@@ -86,9 +94,9 @@ def _blocks(rows: DataFrame) -> DataFrame:
         lang, panels, held, block = None, 0, [], 0
 
         def made() -> pd.DataFrame:
-            at = np.repeat(np.arange(len(held)), [len(e) for e in held])
-            group = np.array([e["g"] for own in held for e in own], np.int64)
-            number = np.array([e["count"] for own in held for e in own], np.int64)
+            at = np.repeat(np.arange(len(held)), [len(g) for g, _ in held])
+            group = np.concatenate([g for g, _ in held]).astype(np.int64)
+            number = np.concatenate([n for _, n in held]).astype(np.int64)
             rows = []
             for panel in range(panels):
                 own = group // GROUPS == panel
@@ -101,13 +109,13 @@ def _blocks(rows: DataFrame) -> DataFrame:
                     yield made()
                     held, block = [], block + 1
                 lang, panels = row.lang, row.panels
-                held.append(row.entries)
+                held.append((row.groups, row.counts))
         if held:
             yield made()
 
     # Terms of like counts stand together: a block has few levels then.
     near = rows.repartitionByRange("lang", "total", "term").sortWithinPartitions("lang", "total", "term")
-    cut_up = near.select("lang", "panels", "entries").mapInPandas(
+    cut_up = near.select("lang", "panels", "groups", "counts").mapInPandas(
         cut, "lang string, part long, panel long, terms long, at binary, place binary, count binary")
     return cut_up.withColumn("block", F.shiftleft(F.spark_partition_id().cast("long"), 32) + F.col("part")).drop("part")
 
@@ -210,7 +218,8 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
 
     matrix = (entries.join(groups.select("lang", "source", "g", "panels"), ["lang", "source"])
               .groupBy("lang", "term").agg(F.first("total").alias("total"), F.first("panels").alias("panels"),
-                                           F.collect_list(F.struct("g", "count")).alias("entries")))  # at most one entry a group
+                                           F.collect_list(F.struct("g", "count")).alias("own"))  # at most one entry a group
+              .select("lang", "term", "total", "panels", F.col("own.g").alias("groups"), F.col("own.count").alias("counts")))
     panels = (groups.groupBy("lang", "kept", F.floor(F.col("g") / GROUPS).alias("panel"))
               .agg(F.transform(F.array_sort(F.collect_list(F.struct("g", "tokens"))), lambda x: x["tokens"]).alias("totals")))
     sums = written(_pair_sums(_blocks(matrix), panels), "sums")

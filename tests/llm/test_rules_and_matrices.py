@@ -138,6 +138,11 @@ def test_audit_equals_brute_force(spark, monkeypatch, sizes):
     assert ("xx", "s1", "pair", "s2", 0, 1) in wanted
 
 
+def test_terms_are_letters_and_all_beyond_ascii():
+    text = "The \tÄPFEL@naïve[x]`y{z~\x7f國家\u2003É\x00a1b_c"
+    assert [t.decode() for t in D.terms_of(text.encode())] == ["the", "Äpfel", "naïve", "x", "y", "z", "國家\u2003É", "a", "b", "c"]
+
+
 def test_joint_tables_count_terms():
     rng = np.random.default_rng(1)
     counts = rng.integers(0, 4, (2, 30))
