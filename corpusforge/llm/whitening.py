@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
@@ -132,21 +133,25 @@ def whiten(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embeddi
     each = rows.select(F.posexplode("x").alias("d", "v")).groupBy("d").agg(F.sum(F.col("v").cast("decimal(20,0)")).alias("s"))
     sums = [int(r["s"]) for r in each.orderBy("d").collect()]
 
-    off = F.zip_with("x", F.lit(sums).cast("array<decimal(25,0)>"), lambda v, s: (v.cast("decimal(20,0)") * n - s).cast("decimal(19,0)"))
-    rows = rows.withColumn("off", off)
-    centred = block_matrix(rows.select("index", F.transform("off", lambda v: v.cast("double") / float(n)).alias("values")), n, width)
+    # x - sum / n, of whole and broken part, so that nothing is rounded but the last bit.
+    whole, broken = F.lit([s // n for s in sums]), [s % n / n for s in sums]
+    values = F.zip_with(F.zip_with("x", whole, lambda v, m: (v - m).cast("double")), F.lit(broken), lambda v, m: v - m)
+    centred = block_matrix(rows.select("index", values.alias("values")), n, width)
+    centred.persist(StorageLevel.MEMORY_AND_DISK)  # three products use it
     values, basis = np.linalg.eigh(scatter(centred) / n)
     values, basis = values[::-1], basis[:, ::-1]
     trace = float(values.sum())
     real = int((values > max(trace, 0.0) * width * np.finfo(float).eps).sum())
     count = min(components, real)
-    square = F.aggregate("off", F.lit(0).cast(EXACT), lambda a, v: (a + (v * v).cast(EXACT)).cast(EXACT))
+    off = F.zip_with("x", F.lit(sums).cast("array<decimal(25,0)>"), lambda v, s: (v.cast("decimal(20,0)") * n - s).cast("decimal(19,0)"))
+    square = F.aggregate(off, F.lit(0).cast(EXACT), lambda a, v: (a + (v * v).cast(EXACT)).cast(EXACT))
     base = rows.select("index", F.col("id").alias(id_column), square.alias("deviation"))
     if not count:
         return (base.drop("index").withColumn("whitened", F.array().cast("array<double>")),
                 Fit(n, sums, values[:0], basis[:, :0], trace, 0.0))
     done = projected(centred, basis[:, :count] / np.sqrt(values[:count]))
     whitened = written(rows_of(done), "whitened")
+    centred._java_matrix_wrapper._java_model.blocks().unpersist(False)
     error = float(np.abs(scatter(block_matrix(whitened, n, count)) / n - np.eye(count)).max())
     return (base.join(whitened.withColumnRenamed("values", "whitened"), "index").drop("index"),
             Fit(n, sums, values[:count], basis[:, :count], trace, error))
