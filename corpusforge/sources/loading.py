@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from corpusforge.session import shared_folder
+from corpusforge.sources.selection import first_by_key
 
 FILE, INDEX = "_metadata.file_path", "_metadata.row_index"
 ROWS_PER_BLOCK = 65536
@@ -54,7 +54,7 @@ def load_source(spark: SparkSession, spec: SourceSpec, trial_rows: int | None =
     """The rows of a source with `row_key`; `trial_rows` overrides max_samples.
 
     A cap runs short jobs while the DataFrame is built: counts per file and
-    block, or a sort of the key columns.
+    block, or counts of keys.
     """
     reader = spark.read.format(spec.format).options(**spec.options)
     if spec.schema:
@@ -96,27 +96,6 @@ def head(df: DataFrame, n: int = 200) -> DataFrame:
     return df.limit(n)
 
 
-def first_by_key(df: DataFrame, key: Sequence[str], n: int) -> DataFrame:
-    """The n rows with the smallest key, the same rows at every reading.
-
-    Only the keys are sorted and written; the n-th of them becomes a filter on
-    the source. Rows that share the n-th key count in the order of their
-    contents' digests. The keys are sorted while the DataFrame is built.
-    """
-    folder = shared_folder(df.sparkSession, "keys")
-    df.select(*key).orderBy(*key).write.parquet(folder)
-    keys = df.sparkSession.read.schema(df.select(*key).schema).parquet(folder)
-    position = _nth_row(keys, n)
-    if position is None:
-        return df
-    nth = keys.filter(position.here).first()
-    this, last = F.struct(*key), F.struct(*[F.lit(nth[c]).cast(df.schema[c].dataType).alias(c) for c in key])
-    before = keys.filter(F.struct(*key) < last).count()
-    content = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    # One row, unless the key is not unique.
-    return df.filter(this < last).unionByName(df.filter(this.eqNullSafe(last)).orderBy(content).limit(n - before))
-
-
 def first_in_files(df: DataFrame, n: int) -> DataFrame:
     """The first n rows in file order, for any n.
 
@@ -133,10 +112,6 @@ class _Position:
     file: str
     index: int
 
-    @property
-    def here(self) -> Column:
-        return (F.col(FILE) == self.file) & (F.col(INDEX) == self.index)
-
     @property
     def up_to(self) -> Column:
         return (F.col(FILE) < self.file) | ((F.col(FILE) == self.file) & (F.col(INDEX) <= self.index))
