@@ -55,6 +55,8 @@ class Reward:
 
 
 REWARDS: dict[str, Reward] = {}
+#: Rewards that tell right from wrong; the others shape an answer.
+CORRECTNESS = ("accuracy_exact", "accuracy_math", "accuracy_mcq")
 
 
 def reward(name: str, doc: str) -> Callable[[RewardFn], RewardFn]:
@@ -226,6 +228,11 @@ def _long_number(values: pd.Series) -> pd.Series:
     return values.map(exact_value, na_action="ignore")
 
 
+def exact_number(answer: Column) -> Column:
+    """`exact_value` of a column."""
+    return _long_number(answer)
+
+
 _FRAC = r"\\[dt]?frac\{\s*(\d{1,9})\s*\}\{\s*(\d{1,9})\s*\}"
 _NUMBER = (r"^([+-]?)\s*(?:(?:(\d{1,8})\s+)?(\d{1,9})\s*/\s*(\d{1,9})"
            r"|(\d{1,18}|\d{1,3}(?:,\d{3}){1,5})?(?:\.(\d{1,9}))?)$")

@@ -145,7 +145,9 @@ def _stable_ranges() -> str:
     return "".join(ranges)
 
 
-# Text made only of these characters is already in NFKC form.
+# Text made only of these characters is already in NFKC form. Most texts need
+# the few ranges only; a class of hundreds is tried where these do not fit.
+_COMMON = r"^[\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\u3001\u3002\u4e00-\u9fa5]*+$"
 _PLAIN = f"^[\\x00-\\x7f{_stable_ranges()}]*+$"
 _PLAIN_WHITESPACE = "".join(c for c in V.WHITESPACE if ord(c) < 128)
 _TAIL = re.compile(rf"[\s{re.escape(V.ANSWER_TAIL)}]+$")
@@ -166,7 +168,7 @@ def norm_answer(c: Text) -> Column:
     Plain text is handled by native functions; the UDF sees NULL for it.
     """
     c = _col(c)
-    plain = c.rlike(_PLAIN)
+    plain = c.rlike(_COMMON) | c.rlike(_PLAIN)
     native = F.rtrim(F.lower(F.btrim(c, F.lit(_PLAIN_WHITESPACE))),
                      F.lit(_PLAIN_WHITESPACE + V.ANSWER_TAIL))
     return F.when(plain, native).otherwise(_normalize_answers(F.when(~plain, c)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from corpusforge.functions import rewards as R
 from corpusforge.functions import text as X
@@ -36,6 +36,25 @@ def filter_script(df: DataFrame, text: str, max_ratio: float = 0.01) -> DataFram
     return df.filter(F.coalesce(script_ratio(text), F.lit(0.0)) <= max_ratio)
 
 
+def filter_script_counted(df: DataFrame, text: str, by: str, sources: Sequence[str], max_ratio: float = 0.01) -> tuple[DataFrame, Observation]:
+    """`filter_script` and an account of it from the same pass over the rows.
+
+    Once the rows have been written or counted, the observation has `kept` and
+    `dropped`: maps from each of `sources`, the values of `by` to tell apart, to
+    a number of rows; rows with another value or none count under "".
+    """
+    out = F.coalesce(script_ratio(text), F.lit(0.0)) > max_ratio
+    marked, seen = df.withColumn("_out", out), Observation()
+    other = ~F.coalesce(F.col(by).isin(list(sources)), F.lit(False))
+
+    def counts(which: Column) -> Column:
+        pairs = [(F.lit(s), F.count_if(which & (F.col(by) == s))) for s in sources] + [(F.lit(""), F.count_if(which & other))]
+        return F.create_map(*[x for pair in pairs for x in pair])
+
+    marked = marked.observe(seen, counts(~F.col("_out")).alias("kept"), counts(F.col("_out")).alias("dropped"))
+    return marked.filter(~F.col("_out")).drop("_out"), seen
+
+
 def audit_english(df: DataFrame, text: str, by: Sequence[str], low: float = 1.0) -> DataFrame:
     """Rows that drift into English: those scoring below `low`, and the mean score."""
     scored = S.score(df.select(*by, F.col(text).alias("completion")), ["no_english_drift"])
@@ -51,11 +70,18 @@ def zero_signal_groups(df: DataFrame, group: str, reward: str = "reward", smalle
                               "too_small": F.col("completions") < smallest})
 
 
-def clipped_ratio(df: DataFrame, tokens: Column, cap: int, by: Sequence[str], warn: float = CLIPPED_WARNING) -> DataFrame:
-    """Share of completions that reach the cap, per step, and a warning."""
-    ratio = F.avg((F.col("_tokens") >= cap).cast("double"))
-    return (df.select(*by, tokens.alias("_tokens")).groupBy(*by)
-            .agg(F.count("*").alias("completions"), ratio.alias("ratio")).withColumn("warn", F.col("ratio") > warn))
+def clipped_ratio(df: DataFrame, tokens: Column, cap: int, by: Sequence[str], warn: float = CLIPPED_WARNING,
+                  reward: str | None = None) -> DataFrame:
+    """Share of completions that reach the cap, per step, and a warning. With a
+    `reward` column also what is learned from: completions that are not cut off
+    (rewarded) and their mean reward; the others are masked."""
+    cut = F.col("_tokens") >= cap
+    agg = [F.count("*").alias("completions"), F.avg(cut.cast("double")).alias("ratio")]
+    if reward:
+        left = F.when(F.coalesce(~cut, F.lit(True)), F.col("_reward"))
+        agg += [F.count(left).alias("rewarded"), F.avg(left).alias("mean_reward")]
+    columns = [*by, tokens.alias("_tokens"), *([F.col(reward).cast("double").alias("_reward")] if reward else [])]
+    return df.select(*columns).groupBy(*by).agg(*agg).withColumn("warn", F.col("ratio") > warn)
 
 
 def cap_advice(df: DataFrame, tokens: Column, caps: Sequence[int], p: float = 0.99) -> DataFrame:
@@ -70,14 +96,32 @@ def cap_advice(df: DataFrame, tokens: Column, caps: Sequence[int], p: float = 0.
                                "advised": F.coalesce(F.col("cap") == smallest, F.lit(False))})
 
 
-def weight_balance(scored: DataFrame, spec: Sequence[Mapping]) -> DataFrame:
-    """What each weighted reward adds up to, and its share of the absolute total."""
-    parts = F.array(*[F.struct(F.lit(s["name"]).alias("reward"), F.lit(float(s.get("weight", 1.0))).alias("weight"),
-                               F.col(s["name"]).alias("score")) for s in spec])
-    sums = (scored.select(F.inline(parts)).groupBy("reward", "weight")
-            .agg(F.count("score").alias("judged"), F.sum(F.col("weight") * F.col("score")).alias("contribution")))
-    whole = F.sum(F.abs("contribution")).over(Window.partitionBy())
-    return sums.withColumn("share", F.try_divide(F.abs("contribution"), whole))
+def weight_balance(scored: DataFrame, spec: Sequence[Mapping], total: str = "reward", decisive: Sequence[str] = R.CORRECTNESS) -> DataFrame:
+    """What each weighted reward adds up to, its share of the absolute total, its
+    correlation with the total where it was judged, and whether correctness leads.
+
+    (reward, weight, judged, contribution, share, correlation, verdict): the
+    verdict of a reward of `decisive` is "dominates" if its weight is above the
+    sum of all others that are not decisive, else "outweighed"; others are
+    "shaping", or "stronger than correctness" if their correlation with the total
+    is above that of every decisive reward. Correlation is NULL for a constant.
+    """
+    weights = {s["name"]: float(s.get("weight", 1.0)) for s in spec}
+    shaping = sum(abs(w) for n, w in weights.items() if n not in decisive)
+    parts = F.array(*[F.struct(F.lit(n).alias("reward"), F.lit(w).alias("weight"), F.lit(n in decisive).alias("_decisive"),
+                               F.col(n).alias("score"), F.col(total).alias("_total")) for n, w in weights.items()])
+    weighted, judged = F.col("weight") * F.col("score"), F.when(F.col("score").isNotNull(), F.col("_total"))
+    varies = (F.stddev_pop("score") > 1e-12) & (F.stddev_pop(judged) > 1e-12)
+    sums = (scored.select(F.inline(parts)).groupBy("reward", "weight", "_decisive")
+            .agg(F.count("score").alias("judged"), F.sum(weighted).alias("contribution"),
+                 F.when(varies, F.try_divide(F.covar_pop("score", judged), F.stddev_pop("score") * F.stddev_pop(judged))).alias("correlation")))
+    rewards = Window.partitionBy()  # a row a reward
+    whole = F.sum(F.abs("contribution")).over(rewards)
+    leads = F.max(F.when(F.col("_decisive"), F.col("correlation"))).over(rewards)
+    verdict = (F.when(F.col("_decisive"), F.when(F.abs("weight") > shaping, "dominates").otherwise("outweighed"))
+               .when(F.col("correlation") > leads, "stronger than correctness").otherwise("shaping"))
+    return sums.select("reward", "weight", "judged", "contribution", F.try_divide(F.abs("contribution"), whole).alias("share"),
+                       "correlation", verdict.alias("verdict"))
 
 
 def mix_shares(df: DataFrame, tokens: Column, weights: Mapping[str, float], source: str = "source",
@@ -105,6 +149,16 @@ def replay_check(shares: DataFrame, bands: Mapping[str, tuple[float, float]], po
     return shares.withColumn("verdict", verdict)
 
 
+def tool_balance(df: DataFrame, is_tool: Column, low: float = 2.0, high: float = 3.0) -> DataFrame:
+    """Rows with and without tool calls, general rows for each tool row, and
+    whether that lies between `low` and `high` (no verdict without tool rows)."""
+    tool = F.coalesce(is_tool, F.lit(False))
+    sums = df.agg(F.count_if(~tool).alias("general"), F.count_if(tool).alias("tool"))
+    ratio = F.try_divide(F.col("general"), F.col("tool"))
+    verdict = F.when(ratio < low, "too few general rows").when(ratio > high, "too few tool rows").when(ratio.isNotNull(), "inside").otherwise("no tool rows")
+    return sums.select("general", "tool", ratio.alias("general_per_tool"), verdict.alias("verdict"))
+
+
 def preference_profile(df: DataFrame, counter: X.TokenCounter = X.token_estimate, p: float = 0.99) -> DataFrame:
     """Percentile and maximum of tokens of prompt, chosen, rejected and prompt +
     longer answer (text columns); the maximum of the last truncates nothing."""

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from corpusforge.functions import rewards as R
 from corpusforge.functions import text as X
 from corpusforge.operators import audits as A
 from corpusforge.operators import evaluation as E
+from corpusforge.operators import grading as GR
 from corpusforge.operators import holdout as H
 from corpusforge.operators import mixing as M
 from corpusforge.operators import scoring as S
@@ -54,20 +56,63 @@ def accuracy_by_benchmark(spark: SparkSession, folder: str) -> DataFrame:
                       F.round("unparsed_share", 9).alias("unparsed_share"), F.col("alarm").cast("long").alias("alarm"))
 
 
+def _repeated(spark: SparkSession, folder: str, method: str) -> DataFrame:
+    """Each item answered in three runs, of which each gets other items wrong."""
+    done, key = answers(spark, folder)
+    k, runs = F.col("item"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("run")
+    said = F.when((k * 3 + F.col("run") * 5) % 7 == 0, F.replace(F.col("completion"), F.lit("A"), F.lit("B"))).otherwise(F.col("completion"))
+    done = done.drop("run").select("*", runs).withColumn("completion", said)
+    read = E.extract_prediction(done, method=method).select("item", "run", "prediction")
+    return E.accuracy(read, key.drop("run").select("*", runs), ["item", "run"], ["benchmark", "run"])
+
+
 def repeat_stats(spark: SparkSession, folder: str) -> DataFrame:
-    got = E.repeat_stats(_graded(spark, folder, ["benchmark", "run"]), ["benchmark"])
+    got = E.repeat_stats(_repeated(spark, folder, "pattern"), ["benchmark"])
     return got.select("benchmark", "runs", F.round("mean", 9).alias("mean"), F.round(F.coalesce("deviation", F.lit(-1.0)), 9).alias("deviation"))
 
 
 def compare_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """Brands of even items before, of items divisible by three after."""
-    runs = _graded(spark, folder, ["benchmark", "run", "item"])
-    sides = [E.repeat_stats(runs.filter(c).groupBy("benchmark", "run").agg(F.avg("accuracy").alias("accuracy")), ["benchmark"])
-             for c in ("item % 2 = 0", "item % 3 = 0 AND benchmark <> 'Brand#1'")]
+    """All items read from the box only, against all items read from prose too."""
+    sides = [E.repeat_stats(_repeated(spark, folder, m), ["benchmark"]) for m in ("box", "pattern")]
     got = E.compare(*sides, ["benchmark"])
     return got.select("benchmark", F.round("gap", 9).alias("gap"), "verdict")
 
 
+def _marked(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Answers with stray capitals and open boxes; items with three, four or five options."""
+    done, key = answers(spark, folder)
+    k = F.col("item")
+    said = (F.when(k % 13 == 0, F.concat(F.lit("答案是 I 或 "), F.col("completion"), F.lit(" 最終答案：C")))
+            .when(k % 17 == 0, F.concat(F.lit("\\boxed{ \\boxed{{{"), F.col("completion"))).otherwise(F.col("completion")))
+    letters = F.when(k % 7 == 0, F.array(*map(F.lit, "ABC"))).when(k % 3 == 0, F.array(*map(F.lit, "ABCDE"))).otherwise(F.array(*map(F.lit, "ABCD")))
+    return done.select("item", said.alias("completion")), key.select("item", "benchmark", F.col("run").alias("config"), "answer", letters.alias("options"))
+
+
+def answers_by_own_options(spark: SparkSession, folder: str) -> DataFrame:
+    got = GR.grade(*_marked(spark, folder), ["item"])
+    dash = lambda c: F.coalesce(c, F.lit("-")).alias(c)
+    return got.select("item", dash("prediction"), dash("unread"), "unmatched", "correct")
+
+
+def accuracy_totals(spark: SparkSession, folder: str) -> DataFrame:
+    got = GR.totals(GR.grade(*_marked(spark, folder), ["item"]), ["benchmark", "config"])
+    return got.select(F.coalesce("benchmark", F.lit("*")).alias("benchmark"), F.coalesce("config", F.lit(-1)).alias("config"), "level", "items", "correct",
+                      "unparsed", "blank", "foreign", "unclosed", "unmatched", F.round("accuracy", 9).alias("accuracy"),
+                      F.round("unparsed_share", 9).alias("unparsed_share"), F.col("alarm").cast("long").alias("alarm"))
+
+
+def math_answers(spark: SparkSession, folder: str) -> DataFrame:
+    """Sizes as answers in several spellings, graded by value."""
+    part, k, n = D.read(spark, folder, "part"), F.col("p_partkey"), F.col("p_size").cast("string")
+    spelled = (F.when(k % 5 == 0, F.concat(n, F.lit(".50"))).when(k % 5 == 1, F.concat(F.lit("\\frac{"), (F.col("p_size") * 2).cast("string"), F.lit("}{4}")))
+               .when(k % 5 == 2, F.concat(n, F.lit(",000"))).when(k % 5 == 3, F.concat(F.lit("x+"), n)).otherwise(n))
+    done = part.select(k.alias("item"), F.when(k % 11 == 0, "none").otherwise(F.concat(F.lit("so \\boxed{"), spelled, F.lit("}"))).alias("completion"))
+    wanted = (F.when(k % 5 == 0, F.concat((F.col("p_size") * 2 + 1).cast("string"), F.lit("/2"))).when(k % 5 == 1, F.concat(n, F.lit("/2")))
+              .when(k % 5 == 2, F.concat(n, F.lit("000"))).when(k % 5 == 3, F.concat(F.lit("X+"), n)).otherwise(F.concat(n, F.lit("1"))))
+    got = GR.grade(done, part.select(k.alias("item"), wanted.alias("answer")), ["item"], "math")
+    return got.select("item", F.coalesce("prediction", F.lit("-")).alias("prediction"), "correct")
+
+
 def options_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     df = D.questions(spark, folder).select("p_partkey", "A", "B", "C", "D", D._letter(F.col("p_partkey")).alias("answer"))
     return E.shuffle_options(df, ["p_partkey"], run=1)
@@ -97,6 +142,14 @@ def filter_script(spark: SparkSession, folder: str) -> DataFrame:
     return kept.groupBy("source").agg(F.count("*").alias("rows"))
 
 
+def filter_script_counted(spark: SparkSession, folder: str) -> DataFrame:
+    """What the filter drops by language, told by the pass that writes the rest."""
+    kept, seen = A.filter_script_counted(D.completions(spark, folder), "completion", "lang", ["en", "de", "fr"], 0.08)
+    kept.write.parquet(shared_folder(spark, "kept"))
+    rows = [(lang, n, seen.get["dropped"][lang]) for lang, n in seen.get["kept"].items()]
+    return spark.createDataFrame(rows, "lang string, kept long, dropped long")
+
+
 def audit_english(spark: SparkSession, folder: str) -> DataFrame:
     got = A.audit_english(D.completions(spark, folder), "completion", ["source"])
     return got.select("source", "rows", "judged", "low", F.round("mean_score", 6).alias("mean_score"))
@@ -124,7 +177,21 @@ def cap_advice(spark: SparkSession, folder: str) -> DataFrame:
 def weight_balance(spark: SparkSession, folder: str) -> DataFrame:
     scored = S.score(D.completions(spark, folder), SPEC, prompt="prompt", target="target")
     got = A.weight_balance(scored, SPEC)
-    return got.select("reward", "weight", "judged", F.round("contribution", 4).alias("contribution"), F.round("share", 6).alias("share"))
+    return got.select("reward", "weight", "judged", F.round("contribution", 4).alias("contribution"), F.round("share", 6).alias("share"),
+                      F.round(F.coalesce("correlation", F.lit(-9.0)), 6).alias("correlation"), "verdict")
+
+
+def masked_rewards(spark: SparkSession, folder: str) -> DataFrame:
+    """What is learned from at each step once completions at the cap are masked."""
+    scored = S.score(D.completions(spark, folder), ["format_boxed"]).withColumn("step", F.col("doc_id") % 10)
+    got = A.clipped_ratio(scored, X.token_estimate("completion"), 512, ["step"], reward="format_boxed")
+    return got.select("step", "completions", F.round("ratio", 9).alias("ratio"), "rewarded", F.round("mean_reward", 9).alias("mean_reward"),
+                      F.col("warn").cast("long").alias("warn"))
+
+
+def tool_balance(spark: SparkSession, folder: str) -> DataFrame:
+    got = A.tool_balance(D.read(spark, folder, "documents"), F.col("lang") == "fr")
+    return got.select("general", "tool", F.round("general_per_tool", 9).alias("general_per_tool"), "verdict")
 
 
 def _shares(spark: SparkSession, folder: str) -> DataFrame:
@@ -242,7 +309,7 @@ def metric_trends_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     predictions_parsed, accuracy_by_benchmark, repeat_stats, compare_runs, options_shuffled, position_bias, method_compare,
-    audit_script, filter_script, audit_english, zero_signal_groups, clipped_ratio, cap_advice, weight_balance, mix_shares,
+    answers_by_own_options, accuracy_totals, math_answers, audit_script, filter_script, filter_script_counted, audit_english, masked_rewards, tool_balance, zero_signal_groups, clipped_ratio, cap_advice, weight_balance, mix_shares,
     replay_check, preference_profile, holdout_pairs, holdout, holdout_chinese, holdout_equal, pack_segments, pack_whole, metric_windows, metric_windows_stream, metric_trends,
     metric_trends_stream)}
 
@@ -253,8 +320,26 @@ _ANSWERS = ("answers AS (SELECT p_partkey AS item, p_brand AS benchmark, p_partk
             "reads AS (SELECT *, nullif(regexp_extract(completion, 'boxed\\{([A-J])', 1), '') AS box, "
             "nullif(regexp_extract(completion, '：([A-J])', 1), '') AS said FROM answers), "
             "p AS (SELECT *, coalesce(box, said) AS prediction, (coalesce(box, said) IS NOT DISTINCT FROM answer)::bigint AS hit FROM reads)")
-_RUNS = "(SELECT benchmark, run, avg(hit) AS accuracy FROM p {where} GROUP BY benchmark, run)"
-_SIDE = "(SELECT benchmark, avg(accuracy) AS mean, stddev_samp(accuracy) AS deviation FROM " + _RUNS + " GROUP BY benchmark)"
+_SAID = "CASE WHEN (item * 3 + r * 5) % 7 = 0 THEN replace(completion, 'A', 'B') ELSE completion END"
+_REPEATED = (f"c AS (SELECT item, benchmark, r, answer, {_SAID} AS said FROM answers, range(3) t(r)), "
+             "g AS (SELECT *, nullif(regexp_extract(said, 'boxed\\{([A-J])', 1), '') AS box, nullif(regexp_extract(said, '：([A-J])', 1), '') AS prose FROM c)")
+
+
+def _sql_stats(prediction: str) -> str:
+    runs = f"SELECT benchmark, r, avg((({prediction}) IS NOT DISTINCT FROM answer)::bigint) AS accuracy FROM g GROUP BY benchmark, r"
+    return f"(SELECT benchmark, count(*) AS runs, avg(accuracy) AS mean, stddev_samp(accuracy) AS deviation FROM ({runs}) GROUP BY benchmark)"
+
+
+_OWN = ("o AS (SELECT item, benchmark, run AS config, answer, CASE WHEN item % 13 = 0 THEN '答案是 I 或 ' || completion || ' 最終答案：C' WHEN item % 17 = 0 THEN "
+        "'\\boxed{ \\boxed{{{' || completion ELSE completion END AS said, CASE WHEN item % 7 = 0 THEN 'ABC' WHEN item % 3 = 0 THEN 'ABCDE' ELSE 'ABCD' END AS options FROM answers), "
+        "q AS (SELECT *, regexp_extract_all(said, '\\\\boxed\\{([^{}]*(?:\\{[^{}]*\\}[^{}]*)*)\\}', 1) AS boxes FROM o), "
+        "l AS (SELECT *, list_concat(regexp_extract_all(coalesce(boxes[-1], ''), '^([A-Z])', 1), regexp_extract_all(said, '答案\\s*(?:是|為)?\\s*[：:]?\\s*([A-Z])', 1)) AS letters FROM q), "
+        "h AS (SELECT *, list_filter(letters, lambda x: contains(options, x))[1] AS prediction, greatest((length(said) - length(replace(said, '\\boxed{', ''))) // 7 - len(boxes), 0)::bigint "
+        "AS unmatched FROM l), z AS (SELECT *, CASE WHEN prediction IS NOT NULL THEN NULL WHEN trim(said) = '' THEN 'blank' WHEN len(letters) > 0 THEN 'not an option' "
+        "WHEN unmatched > 0 THEN 'unmatched box' ELSE 'no answer' END AS unread, coalesce(prediction = answer, false) AS correct FROM h)")
+_MATH = ("SELECT p_partkey AS item, CASE WHEN p_partkey % 11 = 0 THEN '-' WHEN p_partkey % 5 = 0 THEN (2 * p_size + 1) || '/2' WHEN p_partkey % 5 = 1 THEN "
+         "CASE WHEN p_size % 2 = 0 THEN (p_size // 2) || '/1' ELSE p_size || '/2' END WHEN p_partkey % 5 = 2 THEN p_size || '000/1' WHEN p_partkey % 5 = 3 THEN 'x+' || p_size "
+         "ELSE p_size || '/1' END AS prediction, p_partkey % 11 <> 0 AND p_partkey % 5 <> 4 AS correct FROM part")
 _RATIO = f"{Q.sql_simplified('cjk')}::double / nullif(length(cjk), 0)"
 _CJK = f"{D.COMPLETIONS}, c AS (SELECT *, {Q.sql_cjk('completion')} AS cjk FROM completions), r AS (SELECT *, {_RATIO} AS ratio FROM c)"
 _TOKENS = f"{D.COMPLETIONS}, k AS (SELECT doc_id, source, {Q.sql_tokens('completion')} AS tokens FROM completions)"
@@ -313,12 +398,17 @@ SQL = {
     "accuracy_by_benchmark": f"WITH {_ANSWERS} SELECT benchmark, count(*) AS items, sum(hit)::bigint AS correct, count(*) FILTER (prediction IS NULL) AS unparsed, "
                              "round(avg(hit), 9) AS accuracy, round(count(*) FILTER (prediction IS NULL)::double / count(*), 9) AS unparsed_share, "
                              "(count(*) FILTER (prediction IS NULL)::double / count(*) > 0.2)::bigint AS alarm FROM p GROUP BY benchmark",
-    "repeat_stats": f"WITH {_ANSWERS} SELECT benchmark, count(*) AS runs, round(avg(accuracy), 9) AS mean, round(coalesce(stddev_samp(accuracy), -1), 9) AS deviation "
-                    f"FROM {_RUNS.format(where='')} GROUP BY benchmark",
-    "compare_runs": f"WITH {_ANSWERS}, x AS {_SIDE.format(where='WHERE item % 2 = 0')}, y AS " + _SIDE.format(
-        where="WHERE item % 3 = 0 AND benchmark <> 'Brand#1'") + " SELECT benchmark, round(y.mean - x.mean, 9) AS gap, CASE WHEN x.mean IS NULL THEN 'only after' "
-        "WHEN y.mean IS NULL THEN 'only before' WHEN abs(y.mean - x.mean) <= coalesce(greatest(x.deviation, y.deviation), 0) THEN 'within deviation' "
-        "WHEN y.mean > x.mean THEN 'better' ELSE 'worse' END AS verdict FROM x FULL JOIN y USING (benchmark)",
+    "repeat_stats": f"WITH {_ANSWERS}, {_REPEATED} SELECT benchmark, runs, round(mean, 9) AS mean, round(coalesce(deviation, -1), 9) AS deviation "
+                    f"FROM {_sql_stats('coalesce(box, prose)')}",
+    "compare_runs": f"WITH {_ANSWERS}, {_REPEATED} SELECT benchmark, round(y.mean - x.mean, 9) AS gap, CASE WHEN abs(y.mean - x.mean) <= coalesce(greatest(x.deviation, y.deviation), 0) "
+                    f"THEN 'within deviation' WHEN y.mean > x.mean THEN 'better' ELSE 'worse' END AS verdict FROM {_sql_stats('box')} x JOIN {_sql_stats('coalesce(box, prose)')} y USING (benchmark)",
+    "answers_by_own_options": f"WITH {_ANSWERS}, {_OWN} SELECT item, coalesce(prediction, '-') AS prediction, coalesce(unread, '-') AS unread, unmatched, correct FROM z",
+    "accuracy_totals": f"WITH {_ANSWERS}, {_OWN} SELECT coalesce(benchmark, '*') AS benchmark, coalesce(config, -1) AS config, (grouping(benchmark) + grouping(config))::bigint AS level, "
+                       "count(*) AS items, count(*) FILTER (correct) AS correct, count(*) FILTER (prediction IS NULL) AS unparsed, count(*) FILTER (unread = 'blank') AS blank, "
+                       "count(*) FILTER (unread = 'not an option') AS \"foreign\", count(*) FILTER (unread = 'unmatched box') AS unclosed, sum(unmatched)::bigint AS unmatched, "
+                       "round(count(*) FILTER (correct)::double / count(*), 9) AS accuracy, round(count(*) FILTER (prediction IS NULL)::double / count(*), 9) AS unparsed_share, "
+                       "(count(*) FILTER (prediction IS NULL)::double / count(*) > 0.2)::bigint AS alarm FROM z GROUP BY ROLLUP (benchmark, config)",
+    "math_answers": _MATH,
     "options_shuffled": f"WITH {D.QUESTIONS}, q AS (SELECT *, {_DRAWN} AS s, {D._sql_letter('p_partkey')} AS wanted FROM questions) SELECT p_partkey, s[1].t AS A, s[2].t AS B, "
                         "s[3].t AS C, s[4].t AS D, substr('ABCD', list_position(list_transform(s, lambda x: x.l), wanted)::int, 1) AS answer FROM q",
     "position_bias": f"WITH {_ANSWERS}, u AS (SELECT prediction AS letter, 1 AS p, 0 AS k FROM p UNION ALL SELECT answer, 0, 1 FROM p), g AS (SELECT letter, "
@@ -329,6 +419,12 @@ SQL = {
     "audit_script": f"WITH {_CJK} SELECT source, count(*) AS rows, count(ratio) AS chinese, count(*) FILTER (ratio > 0) AS mixed, round(avg(ratio), 6) AS mean_ratio, "
                     "round(max(ratio), 9) AS max_ratio, count(*) FILTER (ratio > 0.01) AS above FROM r GROUP BY source",
     "filter_script": f"WITH {_CJK} SELECT source, count(*) AS rows FROM r WHERE coalesce(ratio, 0) <= 0.08 GROUP BY source",
+    "filter_script_counted": f"WITH {_CJK}, n(lang) AS (VALUES ('en'), ('de'), ('fr'), ('')), x AS (SELECT CASE WHEN lang IN ('en', 'de', 'fr') THEN lang ELSE '' END AS lang, "
+                             "coalesce(ratio, 0) > 0.08 AS dropped FROM r) SELECT n.lang, count(*) FILTER (NOT dropped) AS kept, count(*) FILTER (dropped) AS dropped FROM n LEFT JOIN x USING (lang) GROUP BY n.lang",
+    "masked_rewards": f"WITH {WR._BASE}, e AS (SELECT doc_id % 10 AS step, {WR._score('format_boxed')} AS x, {Q.sql_tokens('completion')} >= 512 AS cut FROM m) SELECT step, count(*) AS completions, "
+                      "round(avg(cut::int), 9) AS ratio, count(x) FILTER (NOT cut) AS rewarded, round(avg(x) FILTER (NOT cut), 9) AS mean_reward, (avg(cut::int) > 0.3)::bigint AS warn FROM e GROUP BY step",
+    "tool_balance": "SELECT *, CASE WHEN general_per_tool < 2 THEN 'too few general rows' WHEN general_per_tool > 3 THEN 'too few tool rows' ELSE 'inside' END AS verdict FROM "
+                    "(SELECT count(*) FILTER (lang <> 'fr') AS general, count(*) FILTER (lang = 'fr') AS tool, round(count(*) FILTER (lang <> 'fr')::double / count(*) FILTER (lang = 'fr'), 9) AS general_per_tool FROM documents)",
     "audit_english": f"WITH {WR._BASE}, e AS (SELECT source, CASE WHEN prose_cjk = 0 AND prose_latin = 0 THEN NULL WHEN prose_cjk = 0 THEN 0.0 "
                      "ELSE greatest(0.0, 1.0 - greatest(0, prose_latin - 3)::double / 20.0) END::double AS x FROM m) SELECT source, count(*) AS rows, "
                      "count(x) AS judged, count(*) FILTER (x < 1) AS low, round(avg(x), 6) AS mean_score FROM e GROUP BY source",
@@ -340,8 +436,11 @@ SQL = {
                   "count(*) FILTER (tokens > cap) AS cut FROM k, c GROUP BY cap) SELECT cap, answers, cut, round(cut::double / answers, 9) AS cut_share, "
                   "(cap IS NOT DISTINCT FROM (SELECT min(cap) FROM t WHERE cut < answers - floor(answers * 0.99::double)))::bigint AS advised FROM t",
     "weight_balance": f"WITH {WR._COMPOSED}, w AS (" + " UNION ALL ".join(
-        f"SELECT '{s['name']}' AS reward, {s['weight']}::double AS weight, count({s['name']}) AS judged, sum({s['weight']}::double * {s['name']}) AS x FROM parts" for s in SPEC)
-        + ") SELECT reward, weight, judged, round(x, 4) AS contribution, round(abs(x) / sum(abs(x)) OVER (), 6) AS share FROM w",
+        f"SELECT '{s['name']}' AS reward, {s['weight']}::double AS weight, {s['name'] in R.CORRECTNESS} AS decisive, count({s['name']}) AS judged, sum({s['weight']}::double * {s['name']}) AS x, "
+        f"CASE WHEN stddev_pop({s['name']}) > 1e-12 AND stddev_pop(CASE WHEN {s['name']} IS NOT NULL THEN reward END) > 1e-12 THEN corr({s['name']}, reward) END AS c FROM composed" for s in SPEC)
+        + ") SELECT reward, weight, judged, round(x, 4) AS contribution, round(abs(x) / sum(abs(x)) OVER (), 6) AS share, round(coalesce(c, -9), 6) AS correlation, "
+        "CASE WHEN decisive THEN CASE WHEN weight > " + str(float(sum(s["weight"] for s in SPEC if s["name"] not in R.CORRECTNESS))) + " THEN 'dominates' ELSE 'outweighed' END "
+        "WHEN c > max(c) FILTER (decisive) OVER () THEN 'stronger than correctness' ELSE 'shaping' END AS verdict FROM w",
     "mix_shares": f"WITH {_MIXED} SELECT source, rows, tokens, epochs, round(share, 9) AS share, round(CASE source "
                   + " ".join(f"WHEN '{s}' THEN {w / _WHOLE!r}" for s, w in WM.WEIGHTS.items()) + " END::double, 9) AS wanted_share FROM sh",
     "replay_check": f"WITH {_MIXED} SELECT source, CASE " + " ".join(
