@@ -30,8 +30,8 @@ from pyspark.sql.functions import pandas_udf
 from corpusforge.llm.common import below_rate, parts, require, written
 
 WORD = re.compile(r"[^\W\d_]+")
-#: Letters of beginnings; ends are as long, but for the shortest.
-EDGES = (3, 4, 5, 6)
+#: Letters of beginnings and ends. Three letters begin too many words to mean one.
+EDGES = (4, 5, 6)
 #: Tokens whose terms a worker keeps; then it starts anew.
 KEPT = 500_000
 NEIGHBOURS = 16
@@ -46,7 +46,7 @@ COUNTED = 200_000
 
 def word_terms(word: str) -> list[str]:
     """The word, its beginnings ("abcd*") and its ends ("*efgh")."""
-    return [word, *[f"{word[:k]}*" for k in EDGES if k < len(word)], *[f"*{word[-k:]}" for k in EDGES[1:] if k < len(word)]]
+    return [word, *[f"{word[:k]}*" for k in EDGES if k < len(word)], *[f"*{word[-k:]}" for k in EDGES if k < len(word)]]
 
 
 def words_of(text: str | None) -> Counter:
@@ -62,13 +62,13 @@ class Tokens(dict):
         self.place = place
         #: How a word starts or ends that may have a term at all.
         self.heads = {t[:EDGES[0]] for t in place if t[0] != "*"} | {t[:-1] for t in place if t[0] != "*" and t[-1] == "*"}
-        self.tails = {t[-EDGES[1]:] for t in place if t[0] == "*"}
+        self.tails = {t[-EDGES[0]:] for t in place if t[0] == "*"}
 
     def __missing__(self, token: str) -> tuple:
         if len(self) >= KEPT:
             self.clear()
         words = (token,) if token.isalpha() else WORD.findall(token)
-        found = self[token] = tuple(self.place[t] for w in words if w[:EDGES[0]] in self.heads or w[-EDGES[1]:] in self.tails
+        found = self[token] = tuple(self.place[t] for w in words if w[:EDGES[0]] in self.heads or w[-EDGES[0]:] in self.tails
                                     for t in word_terms(w) if t in self.place)
         return found
 
