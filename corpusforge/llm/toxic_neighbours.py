@@ -30,8 +30,8 @@ from pyspark.sql.functions import pandas_udf
 from corpusforge.llm.common import below_rate, parts, require, written
 
 WORD = re.compile(r"[^\W\d_]+")
-#: Letters of beginnings and ends. Three letters begin too many words to mean one.
-EDGES = (4, 5, 6)
+#: Letters of beginnings; ends are as long, but for the shortest.
+EDGES = (3, 4, 5, 6)
 #: Tokens whose terms a worker keeps; then it starts anew.
 KEPT = 500_000
 NEIGHBOURS = 16
@@ -46,7 +46,7 @@ COUNTED = 200_000
 
 def word_terms(word: str) -> list[str]:
     """The word, its beginnings ("abcd*") and its ends ("*efgh")."""
-    return [word, *[f"{word[:k]}*" for k in EDGES if k < len(word)], *[f"*{word[-k:]}" for k in EDGES if k < len(word)]]
+    return [word, *[f"{word[:k]}*" for k in EDGES if k < len(word)], *[f"*{word[-k:]}" for k in EDGES[1:] if k < len(word)]]
 
 
 def words_of(text: str | None) -> Counter:
@@ -62,13 +62,13 @@ class Tokens(dict):
         self.place = place
         #: How a word starts or ends that may have a term at all.
         self.heads = {t[:EDGES[0]] for t in place if t[0] != "*"} | {t[:-1] for t in place if t[0] != "*" and t[-1] == "*"}
-        self.tails = {t[-EDGES[0]:] for t in place if t[0] == "*"}
+        self.tails = {t[-EDGES[1]:] for t in place if t[0] == "*"}
 
     def __missing__(self, token: str) -> tuple:
         if len(self) >= KEPT:
             self.clear()
         words = (token,) if token.isalpha() else WORD.findall(token)
-        found = self[token] = tuple(self.place[t] for w in words if w[:EDGES[0]] in self.heads or w[-EDGES[0]:] in self.tails
+        found = self[token] = tuple(self.place[t] for w in words if w[:EDGES[0]] in self.heads or w[-EDGES[1]:] in self.tails
                                     for t in word_terms(w) if t in self.place)
         return found
 
@@ -230,7 +230,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     of the id; a fifth of them calibrates. Terms stand in a share of `min_share`
     of the toxic examples or more (in four at least; six are enough), with a
     log-likelihood ratio of `min_gain` a toxic example or more (ten at least; 25 is
-    enough, which chance reaches once in some million terms). Every such term is
+    enough, which chance reaches once in some million terms). A beginning or end
+    has to reach that without the word that it is found in most. Every such term is
     kept, and examples of both labels are counted for every term. Copies count once for that. The terms' document frequencies are counted over all
     of `docs`. NULL ids and labels teach nothing; of repeated ids the smallest
     label counts.
@@ -247,12 +248,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     sizes = {r["y"]: r["n"] for r in fit.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
 
-    a, b = F.col("toxic"), F.col("clean")
-    expected = (a + b) * n1 / max(1, n0 + n1)
-    gain = 2 * (a * F.log(a / expected) + F.when(b > 0, b * F.log(b / (a + b - expected))).otherwise(0.0))
+    counts = written(_label_counts(fit), "terms")
     # Terms of the examples, of which the bound above limits the number.
-    terms = sorted(r["term"] for r in _label_counts(fit).filter(a >= min(6, max(4, min_share * n1)))
-                   .filter((gain >= min(25.0, max(10.0, min_gain * n1))) & (a > expected)).select("term").collect())
+    found = counts.filter(_telling("toxic", "clean", n1, n0, min_share, min_gain))
+    own = _without_first_word(found.filter(_piece()), counts).filter(_telling("toxic", "clean", n1, n0, min_share, min_gain))
+    terms = sorted(r["term"] for r in found.filter(~_piece()).select("term").unionAll(own.select("term")).collect())
     n_docs = docs.count()
     frequency = {r["term"]: r["n"] for r in _term_counts(rows, set(terms)).collect()} if terms else {}
     idf = np.log((n_docs + 1) / (np.array([frequency.get(t, 0) for t in terms], np.float64) + 1)) + 1e-3
@@ -285,6 +285,31 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     return model
 
 
+def _piece() -> Column:
+    return F.col("term").contains("*")
+
+
+def _telling(toxic: str, clean: str, n1: int, n0: int, min_share: float, min_gain: float) -> Column:
+    """Whether texts of these numbers of either label speak for toxicity."""
+    a, b = F.col(toxic), F.col(clean)
+    expected = (a + b) * n1 / max(1, n0 + n1)
+    gain = 2 * (a * F.log(F.try_divide(a, expected)) + F.when(b > 0, b * F.log(b / (a + b - expected))).otherwise(0.0))
+    return (a >= min(6, max(4, min_share * n1))) & (a > expected) & (gain >= min(25.0, max(10.0, min_gain * n1)))
+
+
+def _without_first_word(pieces: DataFrame, counts: DataFrame) -> DataFrame:
+    """Counts of pieces less those of the word that brings each into most toxic
+    texts: a beginning of one toxic word only says nothing of other words."""
+    words = counts.filter(~_piece() & (F.col("toxic") > 0))
+    size = F.length("term")
+    parts_of = F.concat(*[F.when(size > k, F.array(F.concat(F.left("term", F.lit(k)), F.lit("*")))).otherwise(F.array().cast("array<string>")) for k in EDGES],
+                        *[F.when(size > k, F.array(F.concat(F.lit("*"), F.right("term", F.lit(k))))).otherwise(F.array().cast("array<string>")) for k in EDGES[1:]])
+    of_word = words.select(F.explode(parts_of).alias("term"), F.struct("toxic", "clean").alias("of"))
+    first = of_word.groupBy("term").agg(F.max("of").alias("first"))
+    return pieces.join(first, "term").select("term", (F.col("toxic") - F.col("first.toxic")).alias("toxic"),
+                                             F.greatest(F.col("clean") - F.col("first.clean"), F.lit(0)).alias("clean"))
+
+
 def _label_counts(rows: DataFrame) -> DataFrame:
     """(term, toxic, clean): the number of texts of either label that hold each term."""
 

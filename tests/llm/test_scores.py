@@ -185,7 +185,7 @@ def test_common_words_do_not_become_toxic_by_their_first_letters(spark):
     texts = [" ".join(word() for _ in range(60)) + (" you idiot and moron" if i % 4 == 0 else "") for i in range(160)]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, int("idiot" in t)) for i, t in enumerate(texts)], "doc_id long, toxic int")
-    model = T.learn(docs, labels)
+    model = X.learn(docs, labels)
     asked = spark.createDataFrame([(t,) for t in ("one more day", "the morning mortgage", "such an idiot", "one moron")], "text string")
-    got = [r[0] for r in asked.select(T.toxicity(asked, model)["score"]).collect()]
+    got = [r[0] for r in asked.select(X.toxicity(asked, model)["score"]).collect()]
     assert got[0] < 0.3 and got[1] < 0.3 and got[2] > 0.3 and got[3] > 0.3
