@@ -107,7 +107,7 @@ def prepare(df: DataFrame, completion: str = "completion", prompt: str | None =
     df = put(df, cjk=X.cjk_text(m("text")), prose=X.strip_code(m("text")), think=X.think_blocks(m("text")))
     df = put(df, prose_cjk=X.cjk_count(m("prose")), prose_latin=X.latin_words(m("prose")),
              simplified=X.simplified_in_cjk(m("cjk"), simplified),
-             grams=X.fourgrams_from(m("cjk"), m("text")))
+             grams=X.fourgram_hashes_from(m("cjk"), m("text")))
     return df
 
 

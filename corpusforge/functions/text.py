@@ -195,6 +195,23 @@ def fourgrams_from(cjk: Column, text: Text) -> Column:
             .otherwise(F.regexp_extract_all(words, F.lit(by_word), F.lit(1))))
 
 
+def fourgram_hashes(c: Text) -> Column:
+    """64-bit hashes of the 4-grams, in order: enough to count distinct ones,
+    and no string is built for a gram."""
+    return fourgram_hashes_from(cjk_text(c), c)
+
+
+def fourgram_hashes_from(cjk: Column, text: Text) -> Column:
+    def grams(units: Column) -> Column:
+        # In a lambda the units are split once, not once a gram.
+        each = lambda a: F.transform(F.slice(a, F.lit(1), F.greatest(F.size(a) - 3, F.lit(0))),
+                                     lambda u, i: F.xxhash64(u, F.get(a, i + 1), F.get(a, i + 2), F.get(a, i + 3)))
+        return F.get(F.transform(F.array(units), each), F.lit(0))
+
+    words = F.split(strip(text), f"{V.SPACE}++")
+    return F.when(cjk != "", grams(F.split(cjk, ""))).otherwise(grams(words))
+
+
 def token_estimate(c: Text) -> Column:
     """Tokenizer-free estimate: CJK characters + word runs + other symbols."""
     # Shrink every word run to its first character and drop whitespace; what is

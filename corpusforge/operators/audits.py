@@ -15,6 +15,8 @@ from corpusforge.operators.segments import pack_segments  # noqa: F401
 
 CLIPPED_WARNING = 0.3
 SMALLEST_GROUP = 4
+#: Below this a domain's text does not carry a pre-training stage.
+LEAST_DOMAIN_TOKENS = 100_000_000
 
 
 def script_ratio(text: str) -> Column:
@@ -138,6 +140,26 @@ def mix_shares(df: DataFrame, tokens: Column, weights: Mapping[str, float], sour
     return sums.withColumns({"share": F.col("tokens") / F.sum("tokens").over(Window.partitionBy()), "wanted_share": wanted})
 
 
+def stage_advice(df: DataFrame, tokens: Column, domain: Sequence[str], source: str = "source", copies: str = "copy",
+                 least: int = LEAST_DOMAIN_TOKENS) -> DataFrame:
+    """Whether a mix suits a pre-training stage: (source, rows, tokens,
+    own_tokens, epochs, advice).
+
+    own_tokens counts each row once (`copies` numbers its repetitions from 1);
+    epochs is how often the source is read through, tokens / own_tokens. More than
+    one pass memorizes; sources of `domain` that have fewer than `least` tokens of
+    their own, all together, are better taught in another stage.
+    """
+    once = F.when(F.col(copies) == 1, F.col("_tokens")).otherwise(0)
+    sums = df.select(source, copies, tokens.cast("long").alias("_tokens")).groupBy(source).agg(
+        F.count("*").alias("rows"), F.sum("_tokens").alias("tokens"), F.sum(once).alias("own_tokens"))
+    of_domain = F.coalesce(F.col(source).isin(list(domain)), F.lit(False))
+    whole = F.sum(F.when(of_domain, F.col("own_tokens"))).over(Window.partitionBy())  # a row a source
+    epochs = F.try_divide(F.col("tokens"), F.col("own_tokens"))
+    advice = (F.when(of_domain & (whole < least), "too little text for this stage").when(epochs > 1, "memorizes").otherwise("fits"))
+    return sums.select(source, "rows", "tokens", "own_tokens", epochs.alias("epochs"), advice.alias("advice"))
+
+
 def replay_check(shares: DataFrame, bands: Mapping[str, tuple[float, float]], portion: str = "source") -> DataFrame:
     """Each portion's share against its band: below, inside, above or no band."""
     low = high = F.lit(None).cast("double")

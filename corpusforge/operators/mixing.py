@@ -175,7 +175,8 @@ def _repeat(df: DataFrame, base: Mapping[str, int]) -> DataFrame:
     step = F.lit(COPIES_PER_TASK_ROW).cast("long")
     # A fixed number of partitions: by their size, adaptive execution would put
     # these few rows back into one task.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    tasks = int(wanted) if wanted.isdecimal() else df.sparkSession.sparkContext.defaultParallelism
     ranges = (df.filter(F.col("source").isin(heavy))
               .withColumn("_first", F.explode(F.sequence(one, F.col("_copies"), step)))
               .repartition(tasks, "_digest", "_first"))

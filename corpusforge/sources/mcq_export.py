@@ -10,8 +10,8 @@ from corpusforge.functions import text as X
 from corpusforge.operators.conform import require
 from corpusforge.operators.prompts import check_options
 
-#: Tasks that the items of one config are written by, at most.
-WRITERS = 8
+#: Items of one file, about.
+ITEMS_PER_FILE = 100_000
 LETTERS = tuple(chr(ord("A") + i) for i in range(26))
 
 
@@ -72,12 +72,14 @@ def export_mcq(df: DataFrame, out: str, benchmark: str, split: str | None = None
     """Write the items below `out`, return the report. NULL options are left
     out of a record. Replaces what `out` holds for this benchmark's configs."""
     plan = plan_export(df, split)
-    names = plan.report.select(safe_name(F.col("config")).alias("file"))
-    if clash := names.groupBy("file").count().filter("count > 1").limit(5).collect():
-        raise ValueError(f"configs share a file name: {[r['file'] for r in clash]}")
-    # A config is written by a few tasks, however many its items come from.
-    (plan.items.withColumn("benchmark", safe_name(F.lit(benchmark)))
-     .repartition("config", F.pmod(F.hash("question"), F.lit(WRITERS)))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    files = F.greatest(F.ceil(F.col("items") / ITEMS_PER_FILE), F.lit(1)).alias("_files")
+    names = plan.report.select(safe_name(F.col("config")).alias("config"), files)
+    if clash := names.groupBy("config").count().filter("count > 1").limit(5).collect():
+        raise ValueError(f"configs share a file name: {[r['config'] for r in clash]}")
+    # A config has files in proportion to its items; one item repeated many times
+    # is spread by where it comes from.
+    (plan.items.withColumn("_from", F.spark_partition_id()).join(names, "config").withColumn("benchmark", safe_name(F.lit(benchmark)))
+     .withColumn("_file", F.pmod(F.hash("question", "_from"), F.col("_files"))).repartition("config", "_file")
+     .drop("_from", "_file", "_files").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("benchmark", "config").json(out))
     return plan.report

@@ -208,6 +208,12 @@ def replay_check(spark: SparkSession, folder: str) -> DataFrame:
     return A.replay_check(_shares(spark, folder), BANDS).select("source", "verdict")
 
 
+def stage_advice(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = M.mix(WM._by_language(spark, folder), WM.WEIGHTS, WM.SEED)
+    got = A.stage_advice(mixed, X.token_estimate("text"), ["de"], least=1_000_000_000)
+    return got.select("source", "rows", "tokens", "own_tokens", F.round("epochs", 9).alias("epochs"), "advice")
+
+
 def preference_profile(spark: SparkSession, folder: str) -> DataFrame:
     docs = D.completions(spark, folder).select("prompt", F.col("completion").alias("chosen"), F.col("target").alias("rejected"))
     return A.preference_profile(docs)
@@ -310,7 +316,7 @@ def metric_trends_stream(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     predictions_parsed, accuracy_by_benchmark, repeat_stats, compare_runs, options_shuffled, position_bias, method_compare,
     answers_by_own_options, accuracy_totals, math_answers, audit_script, filter_script, filter_script_counted, audit_english, masked_rewards, tool_balance, zero_signal_groups, clipped_ratio, cap_advice, weight_balance, mix_shares,
-    replay_check, preference_profile, holdout_pairs, holdout, holdout_chinese, holdout_equal, pack_segments, pack_whole, metric_windows, metric_windows_stream, metric_trends,
+    replay_check, stage_advice, preference_profile, holdout_pairs, holdout, holdout_chinese, holdout_equal, pack_segments, pack_whole, metric_windows, metric_windows_stream, metric_trends,
     metric_trends_stream)}
 
 _L = D._sql_letter("p_partkey * 7 + p_size")
@@ -446,6 +452,9 @@ SQL = {
     "replay_check": f"WITH {_MIXED} SELECT source, CASE " + " ".join(
         f"WHEN source = '{s}' THEN CASE WHEN share < {a} THEN 'below' WHEN share > {b} THEN 'above' ELSE 'inside' END" for s, (a, b) in BANDS.items())
         + " ELSE 'no band' END AS verdict FROM sh",
+    "stage_advice": f"WITH {WM.sql_mix(WM._LANGS, WM.WEIGHTS)}, t AS (SELECT source, copy, {Q.sql_tokens('text')}::bigint AS n FROM mixed), s AS (SELECT source, count(*) AS rows, "
+                    "sum(n)::bigint AS tokens, (sum(n) FILTER (copy = 1))::bigint AS own_tokens FROM t GROUP BY source) SELECT *, round(tokens::double / own_tokens, 9) AS epochs, "
+                    "CASE WHEN source = 'de' THEN 'too little text for this stage' WHEN tokens > own_tokens THEN 'memorizes' ELSE 'fits' END AS advice FROM s",
     "preference_profile": f"WITH {D.COMPLETIONS}, s AS (SELECT {Q.sql_tokens('prompt')} AS p, {Q.sql_tokens('completion')} AS c, {Q.sql_tokens('target')} AS r FROM completions), "
                           "u AS (SELECT 'prompt' AS part, p AS v FROM s UNION ALL SELECT 'chosen', c FROM s UNION ALL SELECT 'rejected', r FROM s UNION ALL "
                           "SELECT 'prompt and longer answer', p + greatest(c, r) FROM s), n AS (SELECT part, v, row_number() OVER (PARTITION BY part ORDER BY v) - 1 AS i, "

@@ -130,8 +130,8 @@ QUERIES = {
     "norm_answer": _per_row({"whole": X.norm_answer,
                              "answer": lambda c: F.coalesce(X.norm_answer(X.extract_answer(c)), F.lit("<none>"))}),
     "mcq_letter": _per_row({"letter": lambda c: F.coalesce(X.mcq_letter(X.extract_answer(c)), F.lit("<none>"))}),
-    "fourgrams": _per_row({"grams": lambda c: _long(F.size(X.fourgrams(c))),
-                           "distinct_grams": lambda c: _long(F.size(F.array_distinct(X.fourgrams(c))))}),
+    "fourgrams": _per_row({"grams": lambda c: _long(F.size(X.fourgram_hashes(c))),
+                           "distinct_grams": lambda c: _long(F.size(F.array_distinct(X.fourgram_hashes(c))))}),
     "token_estimate": _per_row({"tokens": lambda c: _long(X.token_estimate(c))}),
 }
 

@@ -101,3 +101,18 @@ def test_own_spec_scores(spark):
     from corpusforge.workloads.rewards import SPEC
     df = spark.createDataFrame([("\\boxed{1}", "1")], "completion string, target string")
     assert S.score(df, SPEC, target="target").first()["rewards_applied"] >= 3
+
+
+def test_stage_advice(spark):
+    rows = [("law", 1, 10), ("law", 1, 20), ("wiki", 1, 40), ("wiki", 2, 40), ("news", 1, 5), (None, 1, 1)]
+    df = spark.createDataFrame(rows, "source string, copy int, n int")
+    got = {r["source"]: (r["own_tokens"], r["epochs"], r["advice"]) for r in A.stage_advice(df, F.col("n"), ["law"], least=31).collect()}
+    assert got == {"law": (30, 1.0, "too little text for this stage"), "wiki": (40, 2.0, "memorizes"), "news": (5, 1.0, "fits"), None: (1, 1.0, "fits")}
+    assert {r["advice"] for r in A.stage_advice(df, F.col("n"), ["law"], least=30).collect()} == {"fits", "memorizes"}
+
+
+def test_gram_hashes_count_as_grams_do(spark):
+    texts = ["", None, "a b c", "a b c d", "a  b\tc d a b c d", "中文字元中文字元", "中文字", "x中y文z字w元q中", " a b c d ", "a " * 50]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for r in df.select(X.fourgrams("t").alias("g"), X.fourgram_hashes("t").alias("h")).collect():
+        assert (len(r["g"] or []), len(set(r["g"] or []))) == (len(r["h"] or []), len(set(r["h"] or [])))
