@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from corpusforge.llm.common import require
+from corpusforge.llm.common import below_rate, require
 
 #: Common words of English, French, German and Spanish that start a chain.
 ANCHORS = (
@@ -131,9 +131,13 @@ def with_next(docs: DataFrame, id_column: str, text: str, per_bucket: int = 2000
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     n = rows.count()
     buckets = max(1, min(most, n // per_bucket))
-    cuts = [k / buckets for k in range(1, buckets)]
-    bounds = (rows.agg(F.percentile_approx("id", cuts, 20 * buckets)).first()[0] if cuts else None) or []
-    bounds = sorted(set(bounds))
+    # Some 20 ids a bucket, drawn by hash and put in order by Spark: cuts for ids of any type.
+    drawn = []
+    if buckets > 1:
+        some = rows.filter(F.col("id").isNotNull() & below_rate(F.col("id"), 20 * buckets / n))
+        drawn = [r["id"] for r in some.select("id").distinct().orderBy("id").collect()]
+    bounds = [drawn[k * len(drawn) // buckets] for k in range(1, buckets)] if drawn else []
+    bounds = list(dict.fromkeys(bounds))
     above = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col("id"))) if bounds else F.lit(0)
     rows = rows.withColumn("bucket", F.when(F.col("id").isNull(), -1).otherwise(above))
     # At most `most` + 1 rows of two numbers.

@@ -147,3 +147,26 @@ def test_similar_pairs(spark):
     sets = {i: chains(t) for i, t in rows}
     want = {(a, b) for a in (1, 2, 3, 4) for b in (1, 2, 3, 4) if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
     assert {(r["a"], r["b"]) for r in S.similar_pairs(df).collect()} == want and want
+
+
+@pytest.mark.parametrize("key", ["concat('k', lpad(id, 6, '0'))", "cast(date_add(date'2001-01-01', cast(id AS int)) AS date)", "cast(id * 3 AS decimal(20,2))"])
+def test_next_documents_of_ids_of_any_type(spark, key):
+    """Many buckets: every document meets the one with the next smaller id."""
+    df = spark.range(5000).selectExpr(f"{key} AS doc_id", "concat('text ', id) AS text")
+    rows = S.with_next(df, "doc_id", "text", per_bucket=300).filter("NOT ghost").select("id", "text", "next").collect()
+    assert len(rows) == 5000
+    wanted = {f"text {i}": f"text {(i - 1) % 5000}" for i in range(5000)}
+    assert {r["text"]: r["next"] for r in rows} == wanted
+
+
+def test_repeated_and_null_ids_have_a_next_document(spark):
+    rows = [("a", f"t{i}") for i in range(50)] + [(None, f"n{i}") for i in range(50)] + [(f"k{i:03d}", f"u{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = S.with_next(df, "doc_id", "text", per_bucket=20).filter("NOT ghost").collect()
+    # One round through all of them.
+    after = {r["text"]: r["next"] for r in got}
+    seen, at = set(), "u199"
+    while at not in seen:
+        seen.add(at)
+        at = after[at]
+    assert len(got) == len(after) == len(seen) == 300 and at == "u199"
