@@ -50,7 +50,8 @@ _SCRIPTS = {
     "greek": ("β δ φ γ λ μ ν ρ σ τ π κ".split(), "α ε ι ο η".split(), "ας ης ου ακης".split(), "ος ων ης ας".split(),
               "α η ια ω".split()),
 }
-#: Draws after which a value that still clashes fails the job.
+#: Draws after which values that still clash get each other's place: by then a
+#: shape has hardly any value left that no document holds.
 DRAWS = 40
 
 
@@ -132,7 +133,9 @@ def _draw(key: str, draw: int) -> Column:
     card = F.concat(F.substring(value, 1, 1), F.substring(shaped, F.lit(2), F.length(value) - 2))
     check = (10 - _luhn_sum(F.concat(card, F.lit("0"))) % 10) % 10
     valid = F.when(_luhn_sum(value) % 10 == 0, check.cast("string")).otherwise(F.substring(shaped, -1, 1))
-    address = F.concat_ws("@", F.substring_index(shaped, "@", 1), F.concat_ws(
+    # Each tenth draw makes the part before the sign a letter longer.
+    local = F.concat(F.substring_index(shaped, "@", 1), *[F.char(_number(digest, 20 + i, 26) + 97) for i in range(draw // 10)])
+    address = F.concat_ws("@", local, F.concat_ws(
         ".", F.regexp_replace(F.substring_index(shaped, "@", -1), r"\.[^.]*$", ""), F.substring_index(value, ".", -1)))
     first = F.substring_index(value, ".", 1)
     private = F.regexp_extract(value, r"^(?:10\.|192\.168\.|127\.)", 0)
@@ -161,10 +164,13 @@ def _draw(key: str, draw: int) -> Column:
 def draw_surrogates(values: DataFrame, key: str) -> DataFrame:
     """(kind, value, surrogate) for distinct (kind, value) rows.
 
-    No two values of a kind share a surrogate, and none is a value of the table.
-    A value that clashes is drawn again (of values that clash with each other,
-    the smallest keeps its surrogate); the clashes of a draw are a small part of
-    it, so the rounds get short quickly.
+    No two values of a kind share a surrogate, and none is a value of the table
+    as long as its shape has others. A value that clashes is drawn again (of
+    values that clash with each other, the smallest keeps its surrogate); the
+    clashes of a draw are a small part of it, so the rounds get short quickly.
+    Where a shape is so full that values still clash in the end, say addresses of
+    192.168 that nearly all occur, these stand for one another, in an order that
+    hangs on the key: distinct still, and none for itself.
     """
     pending, accepted = values, None
     for draw in range(DRAWS):
@@ -184,7 +190,20 @@ def draw_surrogates(values: DataFrame, key: str) -> DataFrame:
         pending = drawn.filter("NOT fits").select("kind", "value")
         if pending.isEmpty():
             return accepted
-    raise ValueError(f"surrogates still clash after {DRAWS} draws")
+    return accepted.unionByName(_exchanged(pending, key))
+
+
+def _exchanged(values: DataFrame, key: str) -> DataFrame:
+    """Each value stands for the next one of its kind and shape in the key's order,
+    the last for the first. After all the draws a shape with a single value left
+    is one without any other value, such as a shape of no letter and digit; that
+    value stays."""
+    sign = F.regexp_replace(F.regexp_replace("value", "[0-9]", "9"), r"\p{L}", "a")
+    shape = F.when(F.col("kind") == "ipv4", F.regexp_extract("value", r"^(?:10\.|192\.168\.|127\.)?", 0)).otherwise(sign)
+    ring = Window.partitionBy("kind", "shape").orderBy(_digest(key, F.col("kind"), F.col("value"), -1), "value")
+    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    shaped = values.withColumn("shape", shape)
+    return shaped.select("kind", "value", F.coalesce(F.lead("value").over(ring), F.first("value").over(whole)).alias("surrogate"))
 
 
 # Applying them
@@ -249,9 +268,14 @@ def replace_private(docs: DataFrame, key: str, text: str = "text", report: str |
     # A name mentioned again has the kind that it had with its title.
     titled = F.flatten(F.transform(F.filter("values", lambda v: v.rlike(rf"^(?:{_TITLES})\.?[  ]")),
                                    lambda v: _atoms(v, F.lit("name"))))
-    alone = (F.col("of") == "name") & ~F.col("mention").rlike(rf"^(?:{_TITLES})\.?[  ]")
-    same = F.transform("parts", lambda p: F.coalesce(F.get(F.filter(titled, lambda t: t["raw"] == p["raw"]), F.lit(0)), p))
-    mentions = mentions.withColumn("parts", F.when(alone, same).otherwise(F.col("parts")))
+    alone = ~F.col("mention").rlike(rf"^(?:{_TITLES})\.?[  ]")
+    # So has one under a title that tells no gender, where another title does.
+    named = lambda p: F.filter(titled, lambda t: t["value"] == p["value"])
+    told = lambda p: F.filter(named(p), lambda t: ~t["kind"].startswith("name_n"))
+    kind_of = lambda p: F.coalesce(F.get(told(p), F.lit(0))["kind"], F.get(named(p), F.lit(0))["kind"], p["kind"])
+    same = F.transform("parts", lambda p: F.when(alone | p["kind"].startswith("name_n"), F.struct(
+        kind_of(p).alias("kind"), p["value"].alias("value"), p["raw"].alias("raw"))).otherwise(p))
+    mentions = mentions.withColumn("parts", F.when(F.col("of") == "name", same).otherwise(F.col("parts")))
     atoms = written(mentions.select("list", "place", "mention", "of", F.posexplode("parts").alias("part", "atom"))
                     .select("list", "place", "mention", "of", "part", "atom.*"), "mentions")
     surrogates = draw_surrogates(atoms.select("kind", "value").distinct(), key)

@@ -65,6 +65,34 @@ def test_surrogates_stay_distinct(spark, monkeypatch):
     assert not {r["surrogate"] for r in got} & {f"s{i}" for i in range(20)}
 
 
+def test_full_shapes_change_places(spark, monkeypatch):
+    monkeypatch.setattr(P, "DRAWS", 2)
+    ips = [f"192.168.{i}.{j}" for i in range(200) for j in range(250)]
+    phones = [f"{i:05d}" for i in range(0, 100_000, 3)]
+    values = spark.createDataFrame([("ipv4", v) for v in ips] + [("phone", v) for v in phones], "kind string, value string")
+    got = P.draw_surrogates(values, "key").collect()
+    assert len(got) == len(ips) + len(phones) and all(r["value"] != r["surrogate"] for r in got)
+    for kind, pattern in (("ipv4", r"192\.168\.\d+\.\d+"), ("phone", r"\d{5}")):
+        own = [r["surrogate"] for r in got if r["kind"] == kind]
+        assert len(set(own)) == len(own) and all(re.fullmatch(pattern, s) for s in own)
+
+
+def test_short_addresses_get_longer(spark):
+    signs = "abcdefghijklmnopqrstuvwxyz"
+    values = spark.createDataFrame([("email", f"{a}@{b}.com") for a in signs for b in signs[:16]], "kind string, value string")
+    got = P.draw_surrogates(values, "key").collect()
+    assert len({r["surrogate"] for r in got}) == len(got) == 416
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.com", r["surrogate"]) for r in got)
+    assert not {r["surrogate"] for r in got} & {r["value"] for r in got}
+
+
+def test_one_person_under_two_titles(spark):
+    df = spark.createDataFrame([(1, "Mr John Smith met Dr John Smith. John left with Mrs John Doe."), (2, "Dr John Smith")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in P.replace_private(df, "key").collect()}
+    m = re.fullmatch(r"Mr (\w+) (\w+) met Dr (\w+) (\w+)\. (\w+) left with Mrs (\w+) (\w+)\.", got[1])
+    assert m[1] == m[3] == m[5] and m[2] == m[4] and m[6] != m[1]
+
+
 def test_key_matters(spark, replaced):
     df = spark.createDataFrame(DOCS[:1], "doc_id long, text string")
     assert P.replace_private(df, "other").first()["text"] != one(replaced, 1)
