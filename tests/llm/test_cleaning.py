@@ -1,6 +1,7 @@
 """Surrogates, licences and spot signatures."""
 
 import hashlib
+import math
 import re
 
 import pytest
@@ -115,6 +116,43 @@ def test_licences(spark):
     assert C.scan(df).count() == len(files) and C.scan(df.limit(0)).count() == 0
 
 
+BSD2 = "BSD 2-Clause License\n\nCopyright (c) 2020, Some One\nAll rights reserved.\n\n" + C._BSD.replace(". ", ".\n") + "\n" + C._BSD_END
+LGPL = ("# This library is free software; you can redistribute it and/or\n# modify it under the terms of the GNU Lesser General Public\n"
+        "# License as published by the Free Software Foundation; either\n# version 2.1 of the License, or (at your option) any later version.\nx = 1\n")
+
+
+def test_licences_are_told_apart(spark):
+    files = [(1, "a/LICENSE", BSD2), (2, "a/x.py", "pass"), (3, "b/lib.py", LGPL), (4, "b/y.py", "pass"), (5, "c/s.c", "// SPDX-License-Identifier: GPL-2.0-only\nint x;"),
+             (6, "d/main.py", "# Released under the MIT License\nimport os"), (7, "d/z.py", "pass"), (8, "e/f.txt", "All rights reserved.\nnotes"),
+             (9, "g/h.txt", "Copyright (c) 2021 A B\n" + C._BSD + C._BSD_NAMES + C._BSD_END), (10, "g/i.py", "pass"),
+             (11, "k/COPYING", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.\n" + "clause words of it " * 900),
+             (12, "k/l.py", "pass"), (13, "m/n.py", "/*\n * SPDX-License-Identifier: Apache-2.0\n */")]
+    got = {r["doc_id"]: (r["licence"], r["origin"]) for r in C.scan(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()}
+    assert got == {1: ("BSD-2-Clause", "file"), 2: ("BSD-2-Clause", "inherited"), 3: ("LGPL-2.1", "header"), 4: (None, "none"), 5: ("GPL-2.0", "header"),
+                   6: ("MIT", "header"), 7: (None, "none"), 8: ("Proprietary", "header"), 9: ("BSD-3-Clause", "file"), 10: ("BSD-3-Clause", "inherited"),
+                   11: ("GPL-3.0", "file"), 12: ("GPL-3.0", "inherited"), 13: ("Apache-2.0", "header")}
+
+
+def test_licence_cosine_equals_brute_force(spark):
+    texts = [(1, "Licensed under the Apache License, Version 2.0"), (2, "an Apache license kind"), (3, "plain words here"), (4, "Released under the MIT License today"), (5, None)]
+    df = spark.createDataFrame(texts, "id int, text string")
+    got = {r["id"]: (r["licence"], r["score"]) for r in C.match(df, "id", "text", 0.2).collect()}
+    words = {i: C._python_terms(t or "") for i, t in texts}
+    known = {t for own in C.TEMPLATES.values() for text in own for t in C._python_terms(text)}
+    idf = lambda t: math.log(7 / (sum(t in w for w in words.values()) + 1)) + 0.1 if t in known else math.log(7) + 0.1
+
+    def vector(own):
+        v = {t: own.count(t) * idf(t) for t in own}
+        n = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / n for t, x in v.items()}
+
+    for i, (licence, score) in got.items():
+        mine = vector(words[i])
+        all_scores = [(sum(x * mine.get(t, 0) for t, x in vector(C._python_terms(text)).items()), name) for name, own in C.TEMPLATES.items() for text in own]
+        assert score == pytest.approx(max(all_scores)[0]) and licence in {n for s, n in all_scores if s == pytest.approx(score)}
+    assert set(got) == {1, 2, 4}
+
+
 def chains(text, n=3):
     """Spot signatures in plain Python: chains as tuples of words."""
     tokens = []
