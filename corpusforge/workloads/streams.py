@@ -12,9 +12,11 @@ from corpusforge.workloads import tables as D
 
 
 def stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A table as a stream, be it one file or a folder of files. Only a path that
+    is a pattern, as the braces make it, may be a single file."""
     schema = D.read(spark, folder, table).schema
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", "8")
-            .option("pathGlobFilter", f"{table}.parquet").parquet(folder))
+            .parquet(f"{folder}/{{{table}.parquet}}"))
 
 
 def guard_batch(spark: SparkSession, folder: str) -> DataFrame:

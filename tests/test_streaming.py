@@ -9,6 +9,7 @@ from corpusforge.operators import scoring as S
 from corpusforge.streaming import guard as G
 from corpusforge.streaming import monitor as T
 from corpusforge.streaming.scoring import score_stream
+from corpusforge.workloads import streams as W
 
 LOG = "run_id string, step long, ratio double"
 
@@ -220,3 +221,20 @@ def test_trends_carry_over_micro_batches(spark, tmp_path):
         run(measures, "windows")
         run(T.metric_trends(spark.readStream.schema(measures.schema).parquet(str(tmp_path / "windows")), persistent=2), "out")
     assert by_metric(spark.read.schema(T.TREND_TYPE).parquet(str(out)).collect()) == WANTED
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_a_streamed_table_may_be_a_file_or_a_folder(spark, tmp_path, parts):
+    """As the reader takes it; beside it lies another table."""
+    made = spark.createDataFrame([(i, f"t{i}") for i in range(9)], "i int, t string")
+    for name in ("documents", "pages"):
+        made.repartition(parts).write.parquet(str(tmp_path / "made" / name))
+    (tmp_path / "in").mkdir()
+    for name in ("documents", "pages"):
+        if parts > 1:
+            (tmp_path / "made" / name).rename(tmp_path / "in" / f"{name}.parquet")
+        else:
+            next((tmp_path / "made" / name).glob("*.parquet")).rename(tmp_path / "in" / f"{name}.parquet")
+    (W.stream(spark, str(tmp_path / "in"), "documents").writeStream.format("parquet").option("path", str(tmp_path / "out"))
+     .option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination())
+    assert sorted(r["i"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(9))
