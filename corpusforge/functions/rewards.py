@@ -160,7 +160,7 @@ def format_boxed(s: Sample) -> Column:
 def accuracy_mcq(s: Sample) -> Column:
     if not s.has_target:
         return F.lit(None).cast("double")
-    wanted = F.left(F.upper(X.strip(s.measure("target"))), F.lit(1))
+    wanted = X.upper_letter(F.left(X.strip(s.measure("target")), F.lit(1)))
     answer = s.measure("answer")
     return _yes((answer != "") & (X.mcq_letter(answer) == wanted))
 

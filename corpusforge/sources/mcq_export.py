@@ -45,7 +45,7 @@ def plan_export(df: DataFrame, split: str | None = None) -> McqExport:
             df = df.withColumn(name, F.lit(None).cast("string"))
     df = df.withColumn("config", F.coalesce("config", F.lit("test")))
     filled = [F.count(x) for x in options]
-    answer = F.left(F.upper(X.strip(F.col("answer").cast("string"))), F.lit(1))
+    answer = X.upper_letter(F.left(X.strip(F.col("answer").cast("string")), F.lit(1)))
     answered = F.coalesce(answer != "", F.lit(False))
     per_split = df.groupBy("config", "split").agg(
         F.count_if(answered).alias("items"), F.count_if(~answered).alias("unanswered"), ((F.count("question") > 0) & (F.count("answer") > 0)).alias("complete"),

@@ -81,6 +81,7 @@ BRANCHES = [
     ("accuracy_mcq", "\\boxed{B}", {"target": "C"}, 0.0),
     ("accuracy_mcq", "\\boxed{}\nC", {"target": "C"}, 0.0),
     ("accuracy_mcq", "\\boxed{N}", {"target": None}, 0.0),
+    ("accuracy_mcq", "\\boxed{ßx}", {"target": "ß"}, 1.0),
     ("accuracy_exact", "Ｐaris。", {"target": "paris"}, 1.0),
     ("accuracy_exact", "", {"target": ""}, 0.0),
     ("accuracy_exact", "x", {"target": None}, 0.0),

@@ -129,3 +129,9 @@ def test_whitespace_class_is_python_whitespace(spark):
     every = [chr(c) for c in range(1, 0x10000) if not 0xD800 <= c < 0xE000]
     got = evaluate(spark, every, lambda c: c.rlike(V.SPACE))
     assert [c for c, g in zip(every, got) if g] == list(V.WHITESPACE)
+
+
+def test_a_letter_stays_one_letter_in_upper_case(spark):
+    """As the SQL cases it: ß has a capital, ŉ and ǰ have none, ı is an I, and a small iota below makes a word longer."""
+    rows = [("ßb x", "ẞ"), ("ŉx", "ŉ"), ("ǰ.", "ǰ"), ("ﬁx", "ﬁ"), ("ᾳx", "ᾼ"), ("zz ı", "I"), ("A\u0345 b", "B"), ("éa", "É")]
+    assert evaluate(spark, [v for v, _ in rows], X.mcq_letter) == [w for _, w in rows]
