@@ -246,8 +246,7 @@ def holdout_chinese(spark: SparkSession, folder: str) -> DataFrame:
 def holdout_equal(spark: SparkSession, folder: str) -> DataFrame:
     """Documents whose whole text another document has."""
     docs = _chinese(spark, folder, "documents", "doc_id")
-    items = docs.withColumnRenamed("doc_id", "item_id")
-    return H.equal_pairs(docs, items, "doc_id", "item_id").filter("doc_id <> item_id")
+    return H.equal_pairs(docs, docs, "doc_id", "doc_id").toDF("doc_id", "item_id").filter("doc_id <> item_id")
 
 
 def pack_segments(spark: SparkSession, folder: str) -> DataFrame:

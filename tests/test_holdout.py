@@ -103,3 +103,36 @@ def test_grams_are_filtered_before_they_move(spark, tmp_path):
     moved = plan[plan.rindex("Exchange", 0, scan):scan]
     # What moves first has been through the function that filters, and the rows without a gram are gone.
     assert "ArrowEvalPython" in moved and "size(" in moved and "Generate" not in moved
+
+
+def test_units_by_codes_are_those_of_the_column(spark):
+    """Also marks that are characters of their own, punctuation beside them, and white space."""
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("ab é1_.,!-  \n\tกั฿ิ中国，。ー①²𝒜😀") for _ in range(rng.randrange(14))) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    same, codes = {}, {}
+    for r in df.select(H.units(F.col("t")).alias("units"), F.lower("t").alias("t")).collect():
+        units = tuple(u for u in r["units"] if u)
+        assert same.setdefault(H.told(r["t"]), units or ()) == units
+        assert len(H.unit_codes(r["t"])) == len(units)
+        assert all(codes.setdefault(int(c), u) == u for c, u in zip(H.unit_codes(r["t"]), units, strict=True))
+    assert len(set(codes.values())) == len(codes) and len(set(same.values())) == len(same)
+
+
+def test_equal_pairs_of_a_large_group_are_dealt_out(spark, monkeypatch):
+    """Of one table with itself, over many parts; ids that come twice or are NULL give a pair once."""
+    monkeypatch.setattr(H, "TOGETHER", 3)
+    df = spark.createDataFrame([(i, "山，高") for i in range(20)] + [(20, "B b"), (20, "山高"), (1, "b  B"), (None, "山 高"), (9, " "), (8, None)], "k int, t string")
+    found = [tuple(r) for r in H.equal_pairs(df, df, "k", "k", "t").collect()]
+    first, second = [*range(21), None], [20, 1]
+    want = {(a, b) for group in (first, second) for a in group for b in group}
+    assert len(found) == len(want) and set(found) == want
+
+
+def test_the_texts_of_equal_pairs_are_worked_out_once(spark, tmp_path):
+    """One table with itself is read once, and no text is in the plan that makes the pairs."""
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "山"), (2, "山")], "k int, text string").write.parquet(path)
+    df = spark.read.parquet(path)
+    plan = H.equal_pairs(df, df, "k", "k")._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "text" not in plan.replace("texts", "")
