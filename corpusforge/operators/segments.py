@@ -32,8 +32,9 @@ def pack_segments(df: DataFrame, key: str, tokens: Column, max_length: int, shar
         blocks = df.count() // ROWS_PER_BLOCK + 1
     order = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
     place = F.conv(F.substring("o", 1, 8), 16, 10).cast("long")
-    rows = df.select(F.col(key).alias("k"), tokens.cast("long").alias("n"), order.alias("o")).filter("n > 0")
-    rows = rows.groupBy("o", "k", "n").agg(F.count("*").alias("copies"))
+    rows = df.select(F.col(key).alias("k"), tokens.cast("long").alias("n"), order.alias("o"))
+    # A filter on n itself would move below the projection and count tokens twice.
+    rows = rows.groupBy("o", "k", "n").agg(F.count("*").alias("copies"), F.max("n").alias("most")).filter("most > 0")
     rows = rows.select("*", F.pmod(place, F.lit(shards)).alias("shard"), F.floor(place * blocks / (1 << 32)).alias("block"))
 
     whole = F.col("n") * F.col("copies")

@@ -48,3 +48,13 @@ def test_no_window_holds_a_whole_shard(spark):
     # Rows stand in windows of one block; the window over a shard has a row a block.
     assert specs and all(re.fullmatch(r"shard#\w+, block#\w+(, o#\w+)?", s) for s in specs) and any("o#" in s for s in specs)
     assert "SinglePartition" not in plan
+
+
+def test_tokens_are_counted_once_a_row(spark, tmp_path):
+    """Not again for the filter that leaves out empty rows."""
+    spark.createDataFrame([(1, "a b"), (2, "")], "k int, t string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    got = G.pack_segments(df, "k", F.length(F.reverse("t")), 2, blocks=2)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("reverse(" in line for line in plan.splitlines() if "Filter" in line)
+    assert {r["k"] for r in got.collect()} == {1}
