@@ -1,14 +1,18 @@
 """Exact top-k search by inner product over norm-sorted, rotated vectors.
 
-Vectors are sorted by descending length and packed into blocks. They are rotated
-onto the singular vectors of the whole table, so that a few leading coordinates
-hold most of an inner product and the rest is bounded by Cauchy-Schwarz.
+Vectors are sorted by descending length and packed into blocks, whose numbers
+take as few bytes as hold them. They are rotated onto the singular vectors of
+the whole table, so that a few leading coordinates hold most of an inner product
+and the rest is bounded by Cauchy-Schwarz.
 
 A query starts with the k-th best score among the longest vectors. A group of
-blocks is skipped if its longest vector cannot reach that score, a chunk of a
-block likewise; what remains gets a partial sum over the leading coordinates,
-and only where that and the product of the residual lengths reach the k-th best
-score is the whole product computed, on the integers themselves.
+blocks is skipped if its longest vector cannot reach that score, a block or a
+chunk of it likewise; what remains gets a partial sum over the leading
+coordinates, and only where that and the product of the residual lengths reach
+the k-th best score is the whole product computed, on the integers themselves.
+
+A task holds a part of the packs of queries and takes a group's blocks one after
+another; the k best so far of each query are all that stays of a block.
 """
 
 from __future__ import annotations
@@ -17,15 +21,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusforge.llm.common import require, written
 
 #: Vectors in a block, queries in a pack, vectors looked at together.
 BLOCK, PACK, CHUNK = 2048, 512, 512
-#: Groups of blocks that packs of queries are sent to, at most.
-GROUPS = 256
+#: Levels of norm that blocks are grouped by, and groups that share a level: blocks of one length do not meet in one task.
+LEVELS, SHARES = 4, 4
+#: Parts of the packs, at least, and bytes that a task may take for the queries of one part.
+PARTS, HELD = 8, 1 << 27
 PACKED = "pack long, norm double, ids binary, rows binary, data binary"
+#: What a block's numbers are kept as, by their bytes.
+KINDS = {1: np.int8, 2: np.int16, 4: np.int32, 8: np.float64}
 #: Of rounding in sums of products of coordinates.
 SLACK = 1e-6
 
@@ -38,38 +47,46 @@ def integers(vector: Column, scale: int) -> Column:
     return F.when(sound, F.transform(doubles, lambda x: F.floor(x * scale).cast("double")))
 
 
+def _shortest(data: np.ndarray) -> np.ndarray:
+    """Whole numbers in the smallest type that holds them all."""
+    most = np.abs(data).max(initial=0)
+    return next((data.astype(kind) for kind in list(KINDS.values())[:-1] if most <= np.iinfo(kind).max), data)
+
+
 def _packs(rows: DataFrame, size: int, width: int) -> DataFrame:
     """Rows of each partition, in their order, `size` at a time."""
+    schema = pa.schema([("pack", pa.int64()), ("norm", pa.float64()), ("ids", pa.binary()), ("rows", pa.binary()), ("data", pa.binary())])
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: list[pd.DataFrame] = []
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[tuple[np.ndarray, ...]] = []
 
-        def made(part: pd.DataFrame) -> pd.DataFrame:
-            data = np.zeros((len(part), width))
-            for k, v in enumerate(part["v"]):
-                data[k, :len(v)] = v
-            return pd.DataFrame([(int(part["row"].iloc[0]), float(np.sqrt(part["square"].max())), part["id"].to_numpy(np.int64).tobytes(),
-                                  part["row"].to_numpy(np.int64).tobytes(), data.tobytes())],
-                                columns=["pack", "norm", "ids", "rows", "data"])
+        def made(ids, own, square, data) -> pa.RecordBatch:
+            one = {"pack": int(own[0]), "norm": float(np.sqrt(square.max())), "ids": ids.tobytes(), "rows": own.tobytes(), "data": _shortest(data).tobytes()}
+            return pa.RecordBatch.from_pylist([one], schema)
 
         for batch in batches:
-            kept.append(batch)
-            if sum(map(len, kept)) >= size:
-                whole = pd.concat(kept, ignore_index=True)
-                cut = len(whole) - len(whole) % size
+            data = np.zeros((batch.num_rows, width))
+            data[np.arange(width) < batch.column("v").value_lengths().to_numpy()[:, None]] = batch.column("v").flatten().to_numpy()
+            kept.append((*(batch.column(c).to_numpy() for c in ("id", "row", "square")), data))
+            if sum(len(x[0]) for x in kept) >= size:
+                whole = [np.concatenate(x) for x in zip(*kept, strict=True)]
+                cut = len(whole[0]) - len(whole[0]) % size
                 for at in range(0, cut, size):
-                    yield made(whole.iloc[at:at + size])
-                kept = [whole.iloc[cut:]]
-        whole = pd.concat(kept, ignore_index=True) if kept else pd.DataFrame()
-        if len(whole):
-            yield made(whole)
+                    yield made(*(x[at:at + size] for x in whole))
+                kept = [tuple(x[cut:].copy() for x in whole)]
+        if any(len(x[0]) for x in kept):
+            yield made(*(np.concatenate(x) for x in zip(*kept, strict=True)))
 
-    return rows.select("id", "row", "square", "v").mapInPandas(pack, PACKED)
+    return rows.select("id", "row", "square", "v").mapInArrow(pack, PACKED)
+
+
+def _numbers(data: bytes, n: int, width: int) -> np.ndarray:
+    return np.frombuffer(data, KINDS[len(data) // (n * width)]).reshape(n, width).astype(np.float64)
 
 
 def _unpack(row, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids, rows = np.frombuffer(row.ids, np.int64), np.frombuffer(row.rows, np.int64)
-    return ids, rows, np.frombuffer(row.data, np.float64).reshape(-1, width)
+    return ids, rows, _numbers(row.data, len(ids), width)
 
 
 def rotation(blocks: DataFrame, width: int) -> np.ndarray:
@@ -80,68 +97,114 @@ def rotation(blocks: DataFrame, width: int) -> np.ndarray:
         total = np.zeros((width, width))
         for batch in batches:
             for row in batch.itertuples():
-                data = np.frombuffer(row.data, np.float64).reshape(-1, width)
+                data = _numbers(row.data, row.n, width)
                 total += data.T @ data
         yield pd.DataFrame({"at": np.arange(width * width), "x": total.ravel()})
 
-    sums = blocks.select("data").mapInPandas(product, "at long, x double").groupBy("at").agg(F.sum("x").alias("x"))
+    sized = blocks.select("data", (F.length("ids") / 8).cast("int").alias("n"))
+    sums = sized.mapInPandas(product, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).toArrow()  # width * width numbers
     flat = np.zeros(width * width)
-    for r in sums.collect():  # width * width numbers
-        flat[r["at"]] = r["x"]
+    flat[sums["at"].to_numpy()] = sums["x"].to_numpy()
     values, vectors = np.linalg.eigh(flat.reshape(width, width))
     return vectors[:, np.argsort(-values, kind="stable")]
 
 
-def best_of(scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
-    """Indices of the k highest scores, ties to the smaller id, then row."""
-    if scores.size > 4 * k:
-        least = np.partition(scores, scores.size - k)[scores.size - k]
-        some = np.flatnonzero(scores >= least)
-        return some[np.lexsort((rows[some], ids[some], -scores[some]))[:k]]
-    return np.lexsort((rows, ids, -scores))[:k]
+class Turned:
+    """Vectors with what their products and bounds are made of: the numbers
+    themselves, and the leading rotated coordinates with the length of the rest."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, data: np.ndarray, turn: np.ndarray, head: int, kind: type):
+        turned = data @ turn
+        self.ids, self.rows, self.norm = ids, rows, np.linalg.norm(data, axis=1)
+        self.data = data.astype(kind)
+        self.bound = np.column_stack([turned[:, :head], np.linalg.norm(turned[:, head:], axis=1)]).astype(kind)
+
+
+def by_chunk(ids: np.ndarray, rows: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A block's vectors, those of a chunk by id: of equal scores the first are the best."""
+    place = np.lexsort((rows, ids, np.arange(len(ids)) // CHUNK))
+    return ids[place], rows[place], data[place]
 
 
 class Search:
     """Best candidates of one pack of queries, over blocks as they come."""
 
-    def __init__(self, ids, rows, data, turn: np.ndarray, head: int, k: int, least: np.ndarray):
-        self.ids, self.rows, self.data, self.k, self.least = ids, rows, data, k, least.copy()
-        turned = data @ turn
-        self.head, self.norm = turned[:, :head], np.linalg.norm(data, axis=1)
-        self.rest = np.linalg.norm(turned[:, head:], axis=1)
-
-    def over(self, ids, rows, data, turn: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Positions in the block and scores of each query's best candidates
-        there, as far as they can belong to its k best."""
-        n, width = len(self.ids), self.head.shape[1]
-        found = [(np.empty(0, np.int64), np.empty(0))] * n
-        turned = data @ turn
-        norm, rest = np.linalg.norm(data, axis=1), np.linalg.norm(turned[:, width:], axis=1)
-        for at in range(0, len(ids), CHUNK):
+    def __init__(self, queries: Turned, k: int, least: np.ndarray):
+        n, self.queries, self.k, self.least = len(queries.ids), queries, k, least.copy()
+        self.score = np.full((n, k), -np.inf)
+        self.ids, self.rows = np.zeros((n, k), np.int64), np.zeros((n, k), np.int64)
+        self.waiting: list[tuple[np.ndarray, ...]] = []
+        self.slack = max(SLACK, (queries.data.shape[1] + 16) * float(np.finfo(queries.data.dtype).eps))
+
+    def over(self, block: Turned) -> None:
+        """Takes in the block's candidates, as far as they can belong to the k best of a query."""
+        own, kind = self.queries, self.queries.data.dtype
+        for at in range(0, len(block.ids), CHUNK):
             part = slice(at, at + CHUNK)
-            slack = SLACK * (1 + self.norm * norm[part].max())
-            active = np.flatnonzero(self.norm * norm[part].max() + slack >= self.least)
+            longest = block.norm[part].max()
+            slack = self.slack * (1 + own.norm * longest)
+            active = np.flatnonzero(own.norm * longest + slack >= self.least)
             if not active.size:
                 break  # what follows is shorter still
-            bound = self.head[active] @ turned[part, :width].T + np.outer(self.rest[active], rest[part])
-            bound += slack[active, None]
-            near = bound >= self.least[active, None]
-            if not near.any():
+            some = active if active.size < len(own.ids) else slice(None)
+            near = own.bound[some] @ block.bound[part].T >= (self.least - slack)[some, None].astype(kind)
+            share = np.count_nonzero(near) / near.size
+            if not share:
                 continue
             # All products at once unless few pairs are left.
-            dense = self.data[active] @ data[part].T if near.mean() > 0.05 else None
-            for i, q in enumerate(active):
-                columns = np.flatnonzero(near[i]) + at
-                columns = columns[rows[columns] != self.rows[q]]
-                if not columns.size:
-                    continue
-                score = dense[i, columns - at] if dense is not None else data[columns] @ self.data[q]
-                columns, score = np.append(found[q][0], columns), np.append(found[q][1], score)
-                top = best_of(score, ids[columns], rows[columns], self.k)
-                found[q] = columns[top], score[top]
-                if top.size == self.k:
-                    self.least[q] = max(self.least[q], found[q][1][-1])
-        return found
+            if share > 0.05:
+                score = own.data[some] @ block.data[part].T
+                hit = np.flatnonzero(self.best(score, active))
+                (q, column), score = divmod(hit, score.shape[1]), score.ravel()[hit]
+            else:
+                q, column = divmod(np.flatnonzero(near), near.shape[1])
+                score = np.einsum("ij,ij->i", own.data[active[q]], block.data[at + column])
+                high = score >= self.least[active[q]]
+                q, column, score = q[high], column[high], score[high]
+            if q.size:
+                self.waiting.append((active[q], score.astype(np.float64), block.ids[at + column], block.rows[at + column]))
+                if sum(len(x[0]) for x in self.waiting) * 4 > self.score.size:
+                    self.add()
+
+    def best(self, score: np.ndarray, active: np.ndarray) -> np.ndarray:
+        """Which scores of a chunk can be among the k best. One more stays than
+        is asked for, since a query may meet itself."""
+        most, width = self.k + 1, score.shape[1]
+        high = score >= self.least[active, None].astype(score.dtype)
+        if width <= most or np.count_nonzero(high) <= 2 * most * len(active):
+            return high
+        self.least[active] = np.maximum(self.least[active], np.partition(score, width - most, axis=1)[:, width - most])
+        least = self.least[active, None].astype(score.dtype)
+        high = score >= least
+        if np.count_nonzero(high) > 2 * most * len(active):
+            equal = score == least
+            high &= ~equal | (np.cumsum(equal, axis=1, dtype=np.int32) <= most)
+        return high
+
+    def add(self) -> None:
+        """The k best of what the queries have and of what waits: ties to the smaller id, then row."""
+        if not self.waiting:
+            return
+        q, score, ids, rows = (np.concatenate(x) for x in zip(*self.waiting, strict=True))
+        self.waiting, other = [], rows != self.queries.rows[q]
+        met = np.zeros(len(self.least), bool)
+        met[q[other]] = True
+        old, place = np.nonzero((self.score > -np.inf) & met[:, None])
+        q, score = np.append(old, q[other]), np.append(self.score[old, place], score[other])
+        ids, rows = np.append(self.ids[old, place], ids[other]), np.append(self.rows[old, place], rows[other])
+        order = np.lexsort((rows, ids, -score, q))
+        q, score, ids, rows = q[order], score[order], ids[order], rows[order]
+        rank = np.arange(len(q)) - np.searchsorted(q, q)
+        top = rank < self.k
+        at = q[top], rank[top]
+        self.score[at], self.ids[at], self.rows[at] = score[top], ids[top], rows[top]
+        self.least = np.maximum(self.least, self.score[:, -1])
+
+    def found(self) -> pd.DataFrame:
+        self.add()
+        q, place = np.nonzero(self.score > -np.inf)
+        return pd.DataFrame({"query_id": self.queries.ids[q], "query_row": self.queries.rows[q], "vec_id": self.ids[q, place],
+                             "row": self.rows[q, place], "score": self.score[q, place].astype(np.int64)})
 
 
 def top_k(vectors: DataFrame, is_query: Column, id_column: str = "vec_id", vector: str = "embedding", k: int = 20,
@@ -161,21 +224,26 @@ def top_k(vectors: DataFrame, is_query: Column, id_column: str = "vec_id", vecto
                           F.coalesce(is_query, F.lit(False)).alias("q")).dropna(subset=["id", "v"])
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     rows = written(rows.select("id", "v", "q", square.alias("square"), F.monotonically_increasing_id().alias("row")), "vectors")
-    facts = rows.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first()
+    facts = rows.agg(F.count("*").alias("n"), F.count_if("q").alias("asked"), F.max(F.size("v")).alias("width")).first()
     empty = "query_id long, rank int, vec_id long, score long"
     if not facts["n"] or not facts["width"]:
         return spark.createDataFrame([], empty)
-    width, slices = facts["width"], max(1, min(4096, facts["n"] // BLOCK))
+    width, n_blocks = facts["width"], max(1, facts["n"] // BLOCK)
+    # A large table has several blocks a slice: the driver samples the range's key for each slice.
+    slices = min(4096, max(min(64, n_blocks), n_blocks // 8))
     head = max(1, round(width * head_share))
     # The id is part of the range's key: vectors of one length do not meet in one task.
     by_norm = rows.repartitionByRange(slices, F.desc("square"), "id", "row").sortWithinPartitions(F.desc("square"), "id", "row")
     blocks = written(_packs(by_norm, BLOCK, width), "blocks")
     turn = rotation(blocks, width)
 
-    # The longest vectors, of one block's number.
-    first = blocks.orderBy(F.desc("norm"), "pack").limit(2).collect()
+    # The longest vectors, of one block's number. Only norms are ordered: each task sends its first rows to the driver.
+    first = [r["pack"] for r in blocks.select("norm", "pack").orderBy(F.desc("norm"), "pack").limit(2).collect()]
+    first = sorted(blocks.filter(F.col("pack").isin(first)).collect(), key=lambda r: (-r["norm"], r["pack"]))
     seeds = [np.concatenate(x) for x in zip(*(_unpack(r, width) for r in first), strict=True)]
     longest = np.argsort(-np.linalg.norm(seeds[2], axis=1), kind="stable")[:BLOCK]
+    # Sums of products stay whole in 24 bits, unless vectors are long.
+    kind = np.float32 if first[0]["norm"] ** 2 < 1 << 24 else np.float64
     seed = spark.sparkContext.broadcast((turn, *(x[longest] for x in seeds)))
 
     def start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,37 +262,51 @@ def top_k(vectors: DataFrame, is_query: Column, id_column: str = "vec_id", vecto
                     for n, t, m in ((n, t, (t > 0) & (n > 0)) for n, t in zip(norms, least, strict=True))]
             yield batch.assign(least=[x.tobytes() for x in least], need=need)
 
-    asked = _packs(rows.filter("q").repartition(max(1, slices // 20), "row"), PACK, width)
+    asked = _packs(rows.filter("q").repartition(max(1, min(4096, facts["asked"] // (4 * PACK))), "row"), PACK, width)
     asked = written(asked.mapInPandas(start, PACKED + ", least binary, need double"), "queries")
 
-    # Groups of blocks by norm: their bounds are at most GROUPS numbers.
-    cuts = blocks.agg(F.percentile_approx("norm", [i / GROUPS for i in range(1, GROUPS)], 100 * GROUPS)).first()[0]
-    cuts = sorted(set(cuts)) if slices > 1 else []
-    group = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("norm"))) if cuts else F.lit(0)
-    tops = {r["g"]: r["top"] for r in blocks.groupBy(group.alias("g")).agg(F.max("norm").alias("top")).collect()}
-    listed = F.array(*[F.struct(F.lit(g).alias("g"), F.lit(t).alias("top")) for g, t in sorted(tops.items())])
-    wanted = F.filter(listed, lambda x: x["top"] >= F.col("need"))
-    sent = asked.withColumn("g", F.explode(F.transform(wanted, lambda x: x["g"])))
-    sent = sent.select("g", *[F.col(c).alias(f"q_{c}") for c in ("pack", "ids", "rows", "data", "least")])
-    pairs = sent.join(blocks.withColumn("g", group), "g").drop("g", "norm", "pack")
+    # Groups of blocks by norm, several of one level. Parts of the packs: their queries stay in a task.
+    levels, shares = max(1, min(n_blocks // 32, max(LEVELS, min(64, n_blocks // 2048)))), min(SHARES, n_blocks)
+    cuts = blocks.agg(F.percentile_approx("norm", [i / levels for i in range(1, levels)], 100 * levels)).first()[0] if levels > 1 else []
+    level = F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda c: c < F.col("norm"))) if cuts else F.lit(0)
+    blocks = blocks.withColumn("group", level * shares + F.pmod(F.xxhash64("pack"), F.lit(shares)).cast("int"))
+    held = facts["asked"] * (width * 12 + k * 24 + 100)
+    parts = max(1, min(facts["asked"] // PACK, max(PARTS, held // HELD)))
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("pack"), F.lit(parts)).cast("int"))
+
+    # A group goes to a pack, and a block to a part, only where its longest vector can still matter.
+    tops = blocks.groupBy("group").agg(F.max("norm").alias("x")).collect()
+    needs = asked.groupBy("part").agg(F.min("need").alias("x")).collect()
+
+    def where(key: str, found: list, passes) -> Column:
+        """The keys whose number passes."""
+        listed = F.array(*[F.struct(F.lit(r[key]).alias("key"), F.lit(r["x"]).alias("x")) for r in sorted(found)])
+        return F.explode(F.transform(F.filter(listed, lambda c: passes(c["x"])), lambda c: c["key"])).alias(key)
+
+    if not needs:
+        return spark.createDataFrame([], empty)
+    parcel = "norm", "ids", "rows", "data"
+    sent = asked.select("part", where("group", tops, lambda x: x >= F.col("need")), *parcel, "least")
+    sent = sent.unionByName(blocks.select("group", where("part", needs, lambda x: x <= F.col("norm")), *parcel, F.lit(None).cast("binary").alias("least")))
+    # The packs of a part come first, then a group's blocks, the longest vectors at the front.
+    sent = sent.repartition(len(tops) * len(needs), "part", "group").sortWithinPartitions("part", "group", F.col("least").isNull(), F.desc("norm"))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        turn, current, at = seed.value[0], None, None
+        turn, at, packs = seed.value[0], None, []
         for batch in batches:
             for row in batch.itertuples():
-                if at != row.q_pack:
-                    ids, own, data = (np.frombuffer(row.q_ids, np.int64), np.frombuffer(row.q_rows, np.int64),
-                                      np.frombuffer(row.q_data, np.float64).reshape(-1, width))
-                    current, at = Search(ids, own, data, turn, head, k, np.frombuffer(row.q_least, np.float64)), row.q_pack
-                ids, own, data = _unpack(row, width)
-                found = current.over(ids, own, data, turn)
-                sizes = [len(c) for c, _ in found]
-                columns = np.concatenate([c for c, _ in found]).astype(np.int64)
-                yield pd.DataFrame({"query_id": np.repeat(current.ids, sizes), "query_row": np.repeat(current.rows, sizes),
-                                    "vec_id": ids[columns], "row": own[columns],
-                                    "score": np.concatenate([s for _, s in found]).astype(np.int64)})
-
-    hits = pairs.mapInPandas(search, "query_id long, query_row long, vec_id long, row long, score long")
+                if at != (row.part, row.group):
+                    yield from (p.found() for p in packs)
+                    at, packs = (row.part, row.group), []
+                if row.least is not None:
+                    packs.append(Search(Turned(*_unpack(row, width), turn, head, kind), k, np.frombuffer(row.least, np.float64)))
+                elif packs:
+                    block = Turned(*by_chunk(*_unpack(row, width)), turn, head, kind)
+                    for p in packs:
+                        p.over(block)
+        yield from (p.found() for p in packs)
+
+    hits = sent.mapInPandas(search, "query_id long, query_row long, vec_id long, row long, score long")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     ranked = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -2,6 +2,9 @@
 
 import random
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -144,3 +147,46 @@ def test_top_k_of_little(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in I.top_k(df, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 64 * 64 * 3)]
     assert I.top_k(df.limit(0), F.col("vec_id") == 0).count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 1e3])
+def test_top_k_of_many_blocks_parts_and_copies(spark, monkeypatch, size):
+    for name, value in (("BLOCK", 32), ("CHUNK", 16), ("PACK", 16)):
+        monkeypatch.setattr(I, name, value)
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(0, 1, (2300, 6)) * rng.gamma(2, 1, (2300, 1)) * size
+    vectors[100:900] = vectors[100]  # more copies than k in each chunk, their queries too
+    vectors = vectors.astype(np.float32).astype(np.float64)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    whole, ids = np.floor(64 * vectors), np.arange(len(vectors))
+    want = []
+    for i in ids[ids % 10 == 0]:
+        score = whole @ whole[i]
+        best = [j for j in np.lexsort((ids, -score)) if j != i][:5]
+        want += [(i, n + 1, j, int(score[j])) for n, j in enumerate(best)]
+    assert sorted(map(tuple, I.top_k(df, F.col("vec_id") % 10 == 0, k=5).collect())) == want
+
+
+def test_numbers_take_few_bytes():
+    for most, kind in ((127, np.int8), (128, np.int16), (-40_000, np.int32), (2.0**40, np.float64)):
+        data = np.array([[0.0, 1.0, -1.0], [most, 5.0, 0.0]])
+        short = I._shortest(data)
+        assert short.dtype == kind and (I._numbers(short.tobytes(), 2, 3) == data).all()
+
+
+def test_driver_gets_the_blocks_it_needs_only():
+    # Each task sends the driver its first rows in order: two blocks of 32 KB from each of 90 tasks are over 4 MB.
+    code = """
+import numpy as np
+from pyspark.sql import SparkSession, functions as F
+from corpusforge.llm import inner_products as I
+conf = {"spark.driver.maxResultSize": "4m", "spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "64k",
+        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+spark = SparkSession.builder.master("local[4]").config(map=conf).getOrCreate()
+I.BLOCK = 64
+vectors = np.random.default_rng(1).normal(0, 1, (5800, 64))
+spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").createOrReplaceTempView("v")
+print("rows", I.top_k(spark.table("v"), F.col("vec_id") % 20 == 0, k=3).count())
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(I.__file__).parents[2], capture_output=True, text=True)
+    assert "rows 870" in done.stdout, done.stderr[-2000:]
