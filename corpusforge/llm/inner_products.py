@@ -200,11 +200,11 @@ class Search:
         self.score[at], self.ids[at], self.rows[at] = score[top], ids[top], rows[top]
         self.least = np.maximum(self.least, self.score[:, -1])
 
-    def found(self) -> pd.DataFrame:
+    def found(self) -> pa.RecordBatch:
         self.add()
         q, place = np.nonzero(self.score > -np.inf)
-        return pd.DataFrame({"query_id": self.queries.ids[q], "query_row": self.queries.rows[q], "vec_id": self.ids[q, place],
-                             "row": self.rows[q, place], "score": self.score[q, place].astype(np.int64)})
+        return pa.RecordBatch.from_pydict({"query_id": self.queries.ids[q], "query_row": self.queries.rows[q], "vec_id": self.ids[q, place],
+                                           "row": self.rows[q, place], "score": self.score[q, place].astype(np.int64)})
 
 
 def top_k(vectors: DataFrame, is_query: Column, id_column: str = "vec_id", vector: str = "embedding", k: int = 20,
@@ -291,22 +291,27 @@ def top_k(vectors: DataFrame, is_query: Column, id_column: str = "vec_id", vecto
     # The packs of a part come first, then a group's blocks, the longest vectors at the front.
     sent = sent.repartition(len(tops) * len(needs), "part", "group").sortWithinPartitions("part", "group", F.col("least").isNull(), F.desc("norm"))
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn, at, packs = seed.value[0], None, []
         for batch in batches:
-            for row in batch.itertuples():
-                if at != (row.part, row.group):
+            for n in range(batch.num_rows):
+                of = {c: batch.column(c)[n] for c in batch.schema.names}
+                if at != (key := (of["part"].as_py(), of["group"].as_py())):
                     yield from (p.found() for p in packs)
-                    at, packs = (row.part, row.group), []
-                if row.least is not None:
-                    packs.append(Search(Turned(*_unpack(row, width), turn, head, kind), k, np.frombuffer(row.least, np.float64)))
+                    at, packs = key, []
+                # Bytes of the batch itself: it may be large, and stands in memory once.
+                ids, own = (np.frombuffer(of[c].as_buffer(), np.int64) for c in ("ids", "rows"))
+                data = _numbers(of["data"].as_buffer(), len(ids), width)
+                if of["least"].is_valid:
+                    least = np.frombuffer(of["least"].as_buffer(), np.float64)
+                    packs.append(Search(Turned(ids.copy(), own.copy(), data, turn, head, kind), k, least))
                 elif packs:
-                    block = Turned(*by_chunk(*_unpack(row, width)), turn, head, kind)
+                    block = Turned(*by_chunk(ids, own, data), turn, head, kind)
                     for p in packs:
                         p.over(block)
         yield from (p.found() for p in packs)
 
-    hits = sent.mapInPandas(search, "query_id long, query_row long, vec_id long, row long, score long")
+    hits = sent.mapInArrow(search, "query_id long, query_row long, vec_id long, row long, score long")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     ranked = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
